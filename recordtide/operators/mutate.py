@@ -54,7 +54,9 @@ def fold_changes(
     current = ordered.join(drops, key, "left").where(
         F.col("_dropped").isNull() | (F.col("_order") >= F.col("_dropped"))
     )
-    first = F.min_by(F.struct(*unlisted), F.col("_order")).filter(~F.col("deleted")).alias("first")
+    # A null order is ignored, so deletes do not count as a first state.
+    born = F.when(~F.col("deleted"), F.col("_order"))
+    first = F.min_by(F.struct(*unlisted), born).alias("first")
     folded = current.groupBy(key).agg(last, restarted, first)
     return folded.select(key, "restarted", "last.*", "first.*")
 

@@ -13,6 +13,16 @@ from recordtide.functions.signing import hmac_sha1
 from recordtide.schemas import DEFAULT_COMPANY, NOTIFIED_RESOURCES, OPERATIONS, REFERENCE_IDS
 
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns whose expressions are worked out exactly once per row.
+
+    Spark copies the definition of a projected column into every filter on it, which
+    would repeat hashing and parsing many times over. It does not do so for the
+    output of a generator, so these columns come out of a one-element ``inline``.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
+
+
 def verify_signature(df: DataFrame, secret: str) -> DataFrame:
     """Add ``signature_error``: null when the header holds the HMAC-SHA1 of the body."""
     header = F.col("signature")
@@ -22,11 +32,7 @@ def verify_signature(df: DataFrame, secret: str) -> DataFrame:
         .when(~header.rlike(r"\A([0-9a-fA-F]{2})*\z"), "undecodable_signature")
         .when(F.lower(header) != hmac_sha1(df.sparkSession, secret, F.coalesce("body", F.lit(""))), "signature_mismatch")
     )
-    return df.withColumn("signature_error", error)
-
-
-def _json_type(document: Column, path: str) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_variant_get(document, path, "variant")), F.lit("VOID"))
+    return _once(df, {"signature_error": error})
 
 
 def parse_notification(df: DataFrame) -> DataFrame:
@@ -37,29 +43,36 @@ def parse_notification(df: DataFrame) -> DataFrame:
     # The JSON reader stops after one value. As an array with a digest behind it,
     # a body with trailing text no longer reads as exactly two elements.
     mark = F.md5(F.coalesce("body", F.lit("")))
-    document = F.try_parse_json(F.concat(F.lit("["), "body", F.lit(',"'), mark, F.lit('"]')))
-    parsed = df.withColumn("_document", document).withColumn("_mark", mark)
-    doc = F.col("_document")
-
-    def text(name: str) -> Column:
-        return F.when(_json_type(doc, f"$[0].{name}") == "STRING", F.try_variant_get(doc, f"$[0].{name}", "string"))
+    marked = df.withColumn("_mark", mark)
+    wrapped = F.concat(F.lit("["), "body", F.lit(',"'), "_mark", F.lit('"]'))
+    doc = F.col("_doc")
+    paths = {"ID": "ID", "date_triggered": "date_triggered", "reference": "reference"}
+    paths |= {name: f"reference.{name}" for name in REFERENCE_IDS}
+    kinds = {
+        f"_kind_{name}": F.schema_of_variant(F.try_variant_get(doc, f"$[0].{path}", "variant"))
+        for name, path in paths.items()
+    }
+    texts = {f"_{name}": F.try_variant_get(doc, f"$[0].{name}", "string") for name in ("ID", "date_triggered")}
+    ids = {f"_{name}": F.try_variant_get(doc, f"$[0].reference.{name}", "bigint") for name in REFERENCE_IDS}
+    whole = {"_whole": F.try_variant_get(doc, "$[1]", "string") == F.col("_mark")}
+    read = marked.withColumn("_doc", F.try_parse_json(wrapped)).withColumns({**kinds, **texts, **ids, **whole})
 
     sound = (
-        (F.try_variant_get(doc, "$[1]", "string") == F.col("_mark"))
-        & F.startswith(_json_type(doc, "$[0].reference"), F.lit("OBJECT<"))
+        F.col("_whole")
+        & (F.col("_kind_ID") == "STRING")
+        & (F.col("_kind_date_triggered") == "STRING")
+        & F.startswith("_kind_reference", F.lit("OBJECT<"))
     )
-    ids = []
     for name in REFERENCE_IDS:
-        path = f"$[0].reference.{name}"
-        value = F.try_variant_get(doc, path, "bigint")
-        kind = _json_type(doc, path)
-        sound = sound & ((kind == "VOID") | ((kind == "BIGINT") & (value >= 0)))
-        ids.append(value.alias(name))
-    sound = sound & text("ID").isNotNull() & text("date_triggered").isNotNull()
+        kind = F.coalesce(f"_kind_{name}", F.lit("VOID"))
+        sound = sound & ((kind == "VOID") | ((kind == "BIGINT") & (F.col(f"_{name}") >= 0)))
     payload = F.struct(
-        text("ID").alias("ID"), F.struct(*ids).alias("reference"), text("date_triggered").alias("date_triggered")
+        F.col("_ID").alias("ID"),
+        F.struct(*[F.col(f"_{name}").alias(name) for name in REFERENCE_IDS]).alias("reference"),
+        F.col("_date_triggered").alias("date_triggered"),
     )
-    return parsed.withColumn("payload", F.when(sound, payload)).drop("_document", "_mark")
+    parsed = _once(read, {"payload": F.when(sound, payload)})
+    return parsed.drop("_mark", "_doc", *kinds, *texts, *ids, *whole)
 
 
 def extract_resource(identifier: Column) -> Column:
