@@ -15,9 +15,13 @@ from pyspark.sql import types as T
 from recordtide.schemas import STALE_AFTER_DAYS
 
 INTEGER = r"\A[+-]?[0-9]+\z"
+_DAY = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
 RFC3339 = (
-    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?"
-    r"([Zz]|[+\-\x{2212}]([01][0-9]|2[0-3]):[0-5][0-9])\z"
+    _DAY + r"[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:[Zz]|[+\-\x{2212}](?:[01][0-9]|2[0-3]):[0-5][0-9])\z"
+)
+# The usual spelling, which Spark's own cast reads exactly: no leap second, offset below 18 hours.
+_PLAIN_RFC3339 = (
+    _DAY + r"[T ][0-9]{2}:[0-9]{2}:[0-5][0-9](?:\.[0-9]+)?(?:Z|[+-](?:0[0-9]|1[0-7]):[0-5][0-9])\z"
 )
 _MICROS_PER_MINUTE = 60_000_000
 
@@ -34,23 +38,28 @@ def parse_id(text: Column, on_error: str = "null") -> Column:
 def parse_rfc3339_utc(text: Column) -> Column:
     """RFC 3339 text with an offset -> instant in microseconds; null when malformed.
 
-    The offset is applied by arithmetic, so the session zone plays no part and
-    offsets up to 23:59 work. A leap second counts as the second after :59.
+    The session zone plays no part. Lower-case ``t`` and ``z``, offsets up to 23:59
+    and leap seconds (the second after :59) are read by parts.
     """
+    return F.when(text.rlike(_PLAIN_RFC3339), text.try_cast("timestamp")).when(
+        text.rlike(RFC3339), _rfc3339_by_parts(text)
+    )
+
+
+def _rfc3339_by_parts(text: Column) -> Column:
     zulu = F.lower(F.right(text, F.lit(1))) == "z"
     offset = F.when(zulu, F.lit("+00:00")).otherwise(F.right(text, F.lit(6)))
     leap = F.substring(text, 18, 2) == "60"
-    fraction = F.regexp_extract(text, r"\.([0-9]{1,6})", 1)
+    fraction = F.regexp_extract(text, r"(\.[0-9]{1,6})", 1)
     clock = F.concat(F.substring(text, 12, 6), F.when(leap, F.lit("59")).otherwise(F.substring(text, 18, 2)))
-    local = F.concat(F.substring(text, 1, 10), F.lit("T"), clock, F.lit("."), fraction, F.lit("Z"))
+    local = F.concat(F.substring(text, 1, 10), F.lit("T"), clock, fraction, F.lit("Z"))
     minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int")
     east = F.when(F.substring(offset, 1, 1) == "+", F.lit(1)).otherwise(F.lit(-1))
-    micros = (
+    return F.timestamp_micros(
         F.unix_micros(local.try_cast("timestamp"))
         - east * minutes.cast("bigint") * _MICROS_PER_MINUTE
         + F.when(leap, F.lit(1_000_000)).otherwise(F.lit(0))
     )
-    return F.when(text.rlike(RFC3339), F.timestamp_micros(micros))
 
 
 def split_once(text: Column, delimiter: str = "-") -> tuple[Column, Column]:

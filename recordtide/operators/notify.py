@@ -77,14 +77,14 @@ def parse_notification(df: DataFrame) -> DataFrame:
 
 def extract_resource(identifier: Column) -> Column:
     """The first dot-segment that names a notified resource."""
-    known = F.filter(F.split(identifier, "[.]"), lambda word: word.isin(*NOTIFIED_RESOURCES))
-    return F.get(known, F.lit(0))
+    segment = rf"(?:\A|\.)({'|'.join(NOTIFIED_RESOURCES)})(?=\.|\z)"
+    return F.nullif(F.regexp_extract(identifier, segment, 1), F.lit(""))
 
 
 def extract_operation(identifier: Column) -> Column:
     """The last dot-segment, when it is an operation."""
-    last = F.element_at(F.split(identifier, "[.]"), -1)
-    return F.when(last.isin(*OPERATIONS), last)
+    segment = rf"(?:\A|\.)({'|'.join(OPERATIONS)})\z"
+    return F.nullif(F.regexp_extract(identifier, segment, 1), F.lit(""))
 
 
 def route_id(resource: Column, reference: Column) -> Column:
@@ -99,22 +99,23 @@ def classify_rejects(df: DataFrame, secret: str) -> DataFrame:
     ``date_triggered`` and ``reject_reason``, the first check that failed."""
     checked = parse_notification(verify_signature(df, secret))
     payload = F.col("payload")
-    routed = checked.withColumns(
+    named = checked.withColumns(
         {
             "resource": extract_resource(payload["ID"]),
             "operation": extract_operation(payload["ID"]),
             "company_id": payload["reference"]["companyID"],
             "date_triggered": payload["date_triggered"],
         }
-    ).withColumn("id", route_id(F.col("resource"), payload["reference"]))
+    )
+    target = route_id(F.col("resource"), payload["reference"])
     reason = F.coalesce(
         "signature_error",
-        F.when(F.col("payload").isNull(), "bad_payload"),
+        F.when(payload.isNull(), "bad_payload"),
         F.when(F.col("resource").isNull(), "missing_resource"),
         F.when(F.col("operation").isNull(), "missing_operation"),
-        F.when(F.col("id").isNull(), "missing_resource_id"),
+        F.when(target.isNull(), "missing_resource_id"),
     )
-    return routed.withColumn("reject_reason", reason).drop("signature_error", "payload")
+    return _once(named, {"id": target, "reject_reason": reason}).drop("signature_error", "payload")
 
 
 def split_accept_reject(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
