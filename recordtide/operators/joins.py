@@ -35,11 +35,8 @@ def fk_join(
     return child.join(renamed, F.col(fk) == F.col("_pk"), "inner").drop("_pk")
 
 
-# Join order of the wide view: prefix, table, key column.
-_STAR = (
-    ("job", "jobs", "job_id"),
-    ("site", "sites", "job_site_id"),
-    ("status", "job_statuses", "job_status_id"),
+# Lookups of a schedule besides its job: prefix, table, key column.
+_SCHEDULE_LOOKUPS = (
     ("staff", "employees", "staff_id"),
     ("activity", "activities", "activity_id"),
     ("cost_center", "cost_centers", "cost_center_id"),
@@ -49,12 +46,18 @@ _STAR = (
 
 
 def star_join(tables: Mapping[str, DataFrame], columns: Iterable[str] | None = None) -> DataFrame:
-    """One wide row per schedule block (or per schedule without blocks), from all eleven tables."""
-    wide = tables["schedules"]
-    for prefix, table, fk in _STAR:
-        wide = fk_join(wide, tables[table], fk, prefix, optional=True)
+    """One wide row per schedule block (or per schedule without blocks), from all eleven tables.
+
+    Jobs meet their site and status first, and blocks their rate, so that the far
+    more numerous schedules move once less for each.
+    """
+    jobs = fk_join(tables["jobs"], tables["sites"], "site_id", "site", optional=True)
+    jobs = fk_join(jobs, tables["job_statuses"], "status_id", "status", optional=True)
     blocks = fk_join(tables["schedule_blocks"], tables["schedule_rates"], "schedule_rate", "rate", optional=True)
     blocks = blocks.withColumnsRenamed({"id": "block_id", "schedule_id": "_schedule"})
+    wide = fk_join(tables["schedules"], jobs, "job_id", "job", optional=True)
+    for prefix, table, fk in _SCHEDULE_LOOKUPS:
+        wide = fk_join(wide, tables[table], fk, prefix, optional=True)
     wide = wide.join(blocks, F.col("id") == F.col("_schedule"), "left").drop("_schedule")
     return wide.select(*columns) if columns else wide
 
@@ -82,14 +85,14 @@ def orphan_check(
     """Rows whose foreign key has no target: ``(child, id, column, target, fk)``.
 
     Targets are looked up in ``targets``, by default the tables themselves. The
-    missing keys are found first. They are few in a sound cache, so the second join
-    broadcasts them and the child rows are not shuffled at all.
+    missing keys are found first and written out. They are few in a sound cache, and
+    then the second join broadcasts them and does not shuffle the child rows.
     """
     edges = list(edges)
     found = []
     for name in dict.fromkeys(edge.child for edge in edges):
         own = [edge for edge in edges if edge.child == name]
-        missing = missing_refs(tables[name], own, targets or tables).withColumnRenamed("id", "fk")
+        missing = cut_lineage(missing_refs(tables[name], own, targets or tables)).withColumnRenamed("id", "fk")
         rows = unpivot_fks(tables[name], own)
         found.append(
             rows.join(missing, ["target", "fk"], "left_semi").select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from recordtide.operators.joins import orphan_check
 from recordtide.operators.sets import pk_duplicates
 from recordtide.schemas import CACHE_TABLES, ENUM_COLUMNS, LOAD_LEVELS, edges_of, required_columns
+from recordtide.session import cut_lineage
 
 
 def source_key_conflict(
@@ -67,8 +68,8 @@ def apply_changes(
     """The table after a change log: untouched base rows plus the last state of touched keys.
 
     Listed columns take the incoming value, null included; unlisted ones keep the
-    stored value. The base is only probed for keys: when the changed keys are few,
-    adaptive execution broadcasts them and the base is never shuffled.
+    stored value. The base is only probed for keys: when the changes are small by
+    their file size, the planner broadcasts their keys and does not shuffle the base.
     """
     listed, unlisted = list(listed), list(unlisted)
     untouched = base.join(changes.select(key).distinct(), key, "left_anti")
@@ -118,10 +119,8 @@ def constraint_report(batch: Mapping[str, DataFrame], stored: Mapping[str, DataF
 
     Foreign keys may point into the batch or into the rows already stored.
     """
-    stored = stored or {}
-    found = []
+    stored, found, narrow = stored or {}, [], {}
     for table, rows in batch.items():
-        key = F.col("id").cast("string").alias("key")
         checks = [
             F.when(F.col(name).isNull(), F.struct(F.lit("not_null").alias("rule"), F.lit(name).alias("column")))
             for name in required_columns(table)
@@ -131,18 +130,21 @@ def constraint_report(batch: Mapping[str, DataFrame], stored: Mapping[str, DataF
             for (owner, name), domain in ENUM_COLUMNS.items()
             if owner == table
         ]
-        # One pass per table for all column rules.
-        hits = rows.select(key, F.explode(F.array_compact(F.array(*checks))).alias("hit"))
+        # One pass over the full rows; what is left is the keys and the rules broken.
+        keys = [edge.column for edge in edges_of(table)]
+        narrow[table] = cut_lineage(rows.select("id", *keys, F.array_compact(F.array(*checks)).alias("broken")))
+        key = F.col("id").cast("string").alias("key")
+        hits = narrow[table].select(key, F.explode("broken").alias("hit"))
         found.append(hits.select("hit.rule", F.lit(table).alias("table"), "hit.column", "key"))
-        twice = pk_duplicates(rows.where(F.col("id").isNotNull()), "id")
+        twice = pk_duplicates(narrow[table].where(F.col("id").isNotNull()), "id")
         found.append(
             twice.select(F.lit("primary_key").alias("rule"), F.lit(table).alias("table"), F.lit("id").alias("column"), key)
         )
     edges = [edge for table in batch for edge in edges_of(table)]
     if edges:
-        targets = {edge.parent: _all_rows(edge.parent, batch, stored) for edge in edges}
+        targets = {edge.parent: _all_rows(edge.parent, narrow, stored) for edge in edges}
         found.append(
-            orphan_check(batch, edges, targets).select(
+            orphan_check(narrow, edges, targets).select(
                 F.lit("foreign_key").alias("rule"), F.col("child").alias("table"), "column",
                 F.col("id").cast("string").alias("key"),
             )

@@ -74,7 +74,8 @@ def join(spark, sf_dir):
 def star(spark, sf_dir):
     wide = star_join(cache_tables(spark, sf_dir))
     return wide.select(
-        "id", "schedule_type", "staff_name", "job_name", "site_address_city", "status_color", "activity_name",
+        "id", "schedule_type", "staff_name", "job_name", F.col("job_site_address_city").alias("site_address_city"),
+        F.col("job_status_color").alias("status_color"), "activity_name",
         "cost_center_name", "quote_name", "lead_name", micros("iso8601_start_time").alias("iso8601_start_time"),
         "rate_name",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def build_session(master: str | None = None, app: str = "recordtide", **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -42,9 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
@@ -53,11 +57,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    Keeps plans of iterative jobs short, and survives the loss of any executor.
+    Keeps plans of iterative jobs short, survives the loss of any executor, and
+    tells the planner the true size, so that a small result is broadcast by the next
+    join without shuffling the other side.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    folder = work_folder(spark, "stage")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
