@@ -64,10 +64,10 @@ def _rfc3339_by_parts(text: Column) -> Column:
 
 def split_once(text: Column, delimiter: str = "-") -> tuple[Column, Column]:
     """Split at the first delimiter; each side is an id or null on its own."""
-    position = F.instr(text, delimiter)
-    left = F.when(position > 0, F.substring(text, F.lit(1), position - 1))
-    right = F.when(position > 0, F.substring(text, position + len(delimiter), F.length(text)))
-    return parse_id(left), parse_id(right)
+    split = F.contains(text, F.lit(delimiter))
+    left = F.substring_index(text, delimiter, 1)
+    right = F.substring(text, F.length(left) + len(delimiter) + 1, F.length(text))
+    return F.when(split, parse_id(left)), F.when(split, parse_id(right))
 
 
 def decode_reference(kind: Column, reference: Column) -> dict[str, Column]:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordtide.functions.once import with_columns_once
 from recordtide.functions.scalars import decode_reference, enum_domain, parse_id, parse_rfc3339_utc
 from recordtide.operators.project import fill_default, to_columns
 from recordtide.schemas import (
@@ -75,7 +76,7 @@ def rows_from_record(records: DataFrame, resource: str, policy: str = "reject")
     rows = records.select(*[rule.alias(name) for name, rule in rules.items()], valid.alias("_valid"))
     wrong = [F.when(F.col(name).isNull(), F.lit(name)) for name in required_columns(table)]
     wrong.append(F.when(~F.col("_valid"), F.lit("reference")))
-    rows = rows.withColumn("reject_columns", F.array_compact(F.array(*wrong))).drop("_valid")
+    rows = with_columns_once(rows, {"reject_columns": F.array_compact(F.array(*wrong))}).drop("_valid")
     if policy == "reject":
         return rows
     message = F.concat(F.lit(f"bad {resource} record: "), F.array_join("reject_columns", ","))

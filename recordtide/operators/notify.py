@@ -9,20 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordtide.functions.once import with_columns_once
 from recordtide.functions.signing import hmac_sha1
 from recordtide.schemas import DEFAULT_COMPANY, NOTIFIED_RESOURCES, OPERATIONS, REFERENCE_IDS
 
 
-def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns whose expressions are worked out exactly once per row.
-
-    Spark copies the definition of a projected column into every filter on it, which
-    would repeat hashing and parsing many times over. It does not do so for the
-    output of a generator, so these columns come out of a one-element ``inline``.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
-
-
 def verify_signature(df: DataFrame, secret: str) -> DataFrame:
     """Add ``signature_error``: null when the header holds the HMAC-SHA1 of the body."""
     header = F.col("signature")
@@ -32,7 +23,7 @@ def verify_signature(df: DataFrame, secret: str) -> DataFrame:
         .when(~header.rlike(r"\A([0-9a-fA-F]{2})*\z"), "undecodable_signature")
         .when(F.lower(header) != hmac_sha1(df.sparkSession, secret, F.coalesce("body", F.lit(""))), "signature_mismatch")
     )
-    return _once(df, {"signature_error": error})
+    return with_columns_once(df, {"signature_error": error})
 
 
 def parse_notification(df: DataFrame) -> DataFrame:
@@ -71,7 +62,7 @@ def parse_notification(df: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"_{name}").alias(name) for name in REFERENCE_IDS]).alias("reference"),
         F.col("_date_triggered").alias("date_triggered"),
     )
-    parsed = _once(read, {"payload": F.when(sound, payload)})
+    parsed = with_columns_once(read, {"payload": F.when(sound, payload)})
     return parsed.drop("_mark", "_doc", *kinds, *texts, *ids, *whole)
 
 
@@ -115,7 +106,7 @@ def classify_rejects(df: DataFrame, secret: str) -> DataFrame:
         F.when(F.col("operation").isNull(), "missing_operation"),
         F.when(target.isNull(), "missing_resource_id"),
     )
-    return _once(named, {"id": target, "reject_reason": reason}).drop("signature_error", "payload")
+    return with_columns_once(named, {"id": target, "reject_reason": reason}).drop("signature_error", "payload")
 
 
 def split_accept_reject(classified: DataFrame) -> tuple[DataFrame, DataFrame]:

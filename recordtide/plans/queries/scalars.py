@@ -68,8 +68,8 @@ _SPLIT_TEXT = """CASE l_linenumber WHEN 1 THEN concat(l_orderkey, '-', l_partkey
               CASE WHEN l_linenumber NOT IN (1, 2, 4, 5) THEN l_partkey END AS second_id FROM lineitem""",
 )
 def split(spark, sf_dir):
-    first, second = split_once(F.expr(_SPLIT_TEXT))
-    return table(spark, sf_dir, "lineitem").select(
+    first, second = split_once(F.col("text"))
+    return table(spark, sf_dir, "lineitem").withColumn("text", F.expr(_SPLIT_TEXT)).select(
         "l_linenumber", "l_orderkey", "l_partkey", first.alias("first_id"), second.alias("second_id")
     )
 

@@ -145,13 +145,14 @@ _RATE = "CASE l_returnflag WHEN 'A' THEN '1' WHEN 'N' THEN '2' ELSE '3' END"
 
 def schedule_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Not unique by id, as the line items are not unique by (order, line number)."""
-    block = f"""transform(CASE WHEN l_linenumber % 3 = 0 THEN array() ELSE sequence(1, l_linenumber % 3) END,
-        i -> named_struct(
-            'ISO8601StartTime', concat(day, 'T0', 7 + i, ':00:00Z'),
-            'ISO8601EndTime', concat(day, 'T0', 7 + i, ':30:00Z'),
-            'StartTime', concat('0', 7 + i, ':00'), 'EndTime', concat('0', 7 + i, ':30'),
-            'Hrs', cast(0.5 AS decimal(38, 10)),
-            'ScheduleRate', named_struct('ID', {_RATE}, 'Name', l_returnflag)))"""
+    def block(hour: int) -> str:
+        return f"""named_struct(
+            'ISO8601StartTime', concat(day, 'T0{hour}:00:00Z'), 'ISO8601EndTime', concat(day, 'T0{hour}:30:00Z'),
+            'StartTime', '0{hour}:00', 'EndTime', '0{hour}:30', 'Hrs', cast(0.5 AS decimal(38, 10)),
+            'ScheduleRate', named_struct('ID', {_RATE}, 'Name', l_returnflag))"""
+
+    blocks = f"""CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber % 3 = 1 THEN array({block(8)})
+                      WHEN l_linenumber % 3 = 2 THEN array({block(8)}, {block(9)}) ELSE array() END"""
     return _line_items(spark, sf_dir).select(
         F.expr("cast(l_orderkey * 10 + l_linenumber AS string)").alias("ID"),
         F.col("day").alias("Date"),
@@ -167,7 +168,7 @@ def schedule_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("Reference"),
         F.expr(_TYPE).alias("Type"),
         _struct(ID="cast(l_suppkey AS string)", Name="concat('Supplier ', l_suppkey)").alias("Staff"),
-        F.expr(f"CASE WHEN l_linenumber = 6 THEN NULL ELSE {block} END").alias("Blocks"),
+        F.expr(blocks).alias("Blocks"),
     )
 
 

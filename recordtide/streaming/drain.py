@@ -96,6 +96,8 @@ def load_rows(
         if edges_of(table):
             picked = cut_lineage(picked)
         checked = rows_from_record(picked, resource)
+        if edges_of(table):
+            checked = cut_lineage(checked)
         bad.append(rejected_rows(checked).select(F.lit(table).alias("table"), "id", "reject_columns"))
         rows[table] = accepted_rows(checked)
         sound = picked.withColumn("_id", parse_id(F.col("ID"))).join(
