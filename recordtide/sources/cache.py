@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from recordtide.operators.mutate import apply_changes
 from recordtide.schemas import CACHE_TABLES, payload_columns
 
+# The base is sorted by this column, so that readers of a key range skip row groups.
+_CLUSTERED_BY = {"schedule_blocks": "schedule_id"}
+
 _COMPACTIONS = T.StructType([T.StructField("table", T.StringType()), T.StructField("upto", T.LongType())])
 
 
@@ -75,7 +78,9 @@ class Cache:
         """Fold the log into a new base; readers switch once it is fully written."""
         upto = self.log(table).agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
         if upto > self._upto(table):
-            self.scan(table).write.mode("overwrite").parquet(f"{self.root}/base/{table}/upto={upto}")
+            key = _CLUSTERED_BY.get(table, "id")
+            base = self.scan(table).repartitionByRange(key).sortWithinPartitions(key)
+            base.write.mode("overwrite").parquet(f"{self.root}/base/{table}/upto={upto}")
             mark = self.spark.createDataFrame([(table, upto)], _COMPACTIONS)
             mark.coalesce(1).write.mode("append").parquet(f"{self.root}/compactions")
         return upto

@@ -17,7 +17,7 @@ from recordtide.operators.buffer import collapse_batch
 from recordtide.operators.mutate import ordered_load, source_key_conflict
 from recordtide.operators.nested import accepted_rows, derived_rows, rejected_rows, rows_from_record
 from recordtide.operators.notify import classify_rejects, split_accept_reject, tenant_scope
-from recordtide.operators.read_api import id_in_list
+from recordtide.operators.read_api import id_in_list, within_range
 from recordtide.operators.sets import fold_partial_views
 from recordtide.schemas import (
     CACHE_TABLES,
@@ -175,8 +175,11 @@ class CacheSync:
 
     def _stale_blocks(self, rows: Mapping[str, DataFrame], gone: DataFrame, batch_id: int) -> DataFrame:
         """Stored blocks of the touched schedules that the new records no longer have."""
-        touched = _union([rows["schedules"].select("id"), gone.select("id")]).withColumnRenamed("id", "schedule_id")
-        stored = self.cache.scan("schedule_blocks", before=batch_id).join(touched, "schedule_id", "left_semi")
+        touched = cut_lineage(_union([rows["schedules"].select("id"), gone.select("id")]))
+        blocks = self.cache.scan("schedule_blocks", before=batch_id)
+        stored = id_in_list(
+            within_range(blocks, "schedule_id", touched), touched.withColumnRenamed("id", "schedule_id"), "schedule_id"
+        )
         return cut_lineage(stored.select("id").join(rows["schedule_blocks"].select("id"), "id", "left_anti"))
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordtide.operators.joins import orphan_check
+from recordtide.operators.read_api import within_range
 from recordtide.schemas import CACHE_TABLES, LOAD_LEVELS
 from recordtide.session import cut_lineage, shared_folder, work_folder
 from recordtide.sources.cache import Cache, cache_scan
@@ -270,3 +271,19 @@ def test_working_folders(spark):
         shared_folder(Remote)
     Remote.sparkContext.master = "local[2]"
     assert shared_folder(Remote).startswith("/tmp/run-")
+
+
+def test_key_range_reaches_the_base_scan(spark, tmp_path, capsys):
+    cache = Cache(spark, str(tmp_path))
+    blocks = spark.range(2000).selectExpr(
+        "id", "pmod(xxhash64(id), 500) schedule_id", "timestamp_micros(id) iso8601_start_time",
+        "timestamp_micros(id) iso8601_end_time", "1L schedule_rate", "false deleted",
+    )
+    cache.write_changes("schedule_blocks", blocks, 0)
+    cache.compact("schedule_blocks")
+    some = spark.createDataFrame([(7,), (9,)], "id long")
+    near = within_range(cache.scan("schedule_blocks"), "schedule_id", some)
+    assert rows(near.select("id")) == rows(blocks.where("schedule_id between 7 and 9").select("id"))
+    near.explain("formatted")
+    assert "GreaterThanOrEqual(schedule_id,7), LessThanOrEqual(schedule_id,9)" in capsys.readouterr().out
+    assert rows(within_range(cache.scan("schedule_blocks"), "schedule_id", some.where("id < 0"))) == []
