@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -107,10 +108,18 @@ def delete_by_id(base: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 
 def ordered_load(rows: Mapping[str, DataFrame], write: Callable[[str, DataFrame], None]) -> list[str]:
-    """Write tables so that every referenced table comes first. Returns the order used."""
-    order = [table for level in LOAD_LEVELS for table in level if table in rows]
-    for table in order:
-        write(table, rows[table])
+    """Write tables so that every referenced table comes first. Returns the order used.
+
+    Tables of one level do not reference each other, so their jobs run side by side
+    and the small ones do not hold up the cluster.
+    """
+    order = []
+    for level in LOAD_LEVELS:
+        tables = [table for table in level if table in rows]
+        if tables:
+            with ThreadPoolExecutor(len(tables)) as pool:
+                list(pool.map(lambda table: write(table, rows[table]), tables))
+        order += tables
     return order
 
 

@@ -14,10 +14,11 @@ TABLES = (
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "local[8]", "tests",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
-    )
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    if os.environ.get("TEST_NO_BROADCAST"):
+        # Every join by shuffle, as when both sides are large.
+        conf |= {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    session = build_session("local[8]", "tests", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
