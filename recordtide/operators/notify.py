@@ -26,6 +26,15 @@ def verify_signature(df: DataFrame, secret: str) -> DataFrame:
     return with_columns_once(df, {"signature_error": error})
 
 
+def _payload_type(text: str, number: str) -> str:
+    ids = ", ".join(f"{name} {number}" for name in REFERENCE_IDS)
+    return f"struct<ID {text}, reference struct<{ids}>, date_triggered {text}>"
+
+
+def _json_kind(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
 def parse_notification(df: DataFrame) -> DataFrame:
     """Add ``payload``: the decoded body, or null unless every field has its exact type.
 
@@ -34,36 +43,24 @@ def parse_notification(df: DataFrame) -> DataFrame:
     # The JSON reader stops after one value. As an array with a digest behind it,
     # a body with trailing text no longer reads as exactly two elements.
     mark = F.md5(F.coalesce("body", F.lit("")))
-    marked = df.withColumn("_mark", mark)
     wrapped = F.concat(F.lit("["), "body", F.lit(',"'), "_mark", F.lit('"]'))
-    doc = F.col("_doc")
-    paths = {"ID": "ID", "date_triggered": "date_triggered", "reference": "reference"}
-    paths |= {name: f"reference.{name}" for name in REFERENCE_IDS}
-    kinds = {
-        f"_kind_{name}": F.schema_of_variant(F.try_variant_get(doc, f"$[0].{path}", "variant"))
-        for name, path in paths.items()
-    }
-    texts = {f"_{name}": F.try_variant_get(doc, f"$[0].{name}", "string") for name in ("ID", "date_triggered")}
-    ids = {f"_{name}": F.try_variant_get(doc, f"$[0].reference.{name}", "bigint") for name in REFERENCE_IDS}
-    whole = {"_whole": F.try_variant_get(doc, "$[1]", "string") == F.col("_mark")}
-    read = marked.withColumn("_doc", F.try_parse_json(wrapped)).withColumns({**kinds, **texts, **ids, **whole})
-
-    sound = (
-        F.col("_whole")
-        & (F.col("_kind_ID") == "STRING")
-        & (F.col("_kind_date_triggered") == "STRING")
-        & F.startswith("_kind_reference", F.lit("OBJECT<"))
+    read = df.withColumn("_mark", mark).withColumn("_doc", F.try_parse_json(wrapped))
+    # Casts are lenient ("7" and 7.0 read as 7), so the kinds found are checked beside the values.
+    read = read.withColumns(
+        {
+            "_whole": F.try_variant_get("_doc", "$[1]", "string") == F.col("_mark"),
+            "_found": F.try_variant_get("_doc", "$[0]", _payload_type("variant", "variant")),
+            "_typed": F.try_variant_get("_doc", "$[0]", _payload_type("string", "bigint")),
+        }
     )
+    found, typed = F.col("_found"), F.col("_typed")
+    sound = F.col("_whole") & found["reference"].isNotNull()
+    for name in ("ID", "date_triggered"):
+        sound = sound & (_json_kind(found[name]) == "STRING")
     for name in REFERENCE_IDS:
-        kind = F.coalesce(f"_kind_{name}", F.lit("VOID"))
-        sound = sound & ((kind == "VOID") | ((kind == "BIGINT") & (F.col(f"_{name}") >= 0)))
-    payload = F.struct(
-        F.col("_ID").alias("ID"),
-        F.struct(*[F.col(f"_{name}").alias(name) for name in REFERENCE_IDS]).alias("reference"),
-        F.col("_date_triggered").alias("date_triggered"),
-    )
-    parsed = with_columns_once(read, {"payload": F.when(sound, payload)})
-    return parsed.drop("_mark", "_doc", *kinds, *texts, *ids, *whole)
+        in_range = F.coalesce(typed["reference"][name] >= 0, F.lit(True))
+        sound = sound & _json_kind(found["reference"][name]).isin("VOID", "BIGINT") & in_range
+    return with_columns_once(read, {"payload": F.when(sound, typed)}).drop("_mark", "_doc", "_whole", "_found", "_typed")
 
 
 def extract_resource(identifier: Column) -> Column:
