@@ -19,46 +19,61 @@ from recordtide.session import cut_lineage
 
 
 def fk_join(
-    child: DataFrame, parent: DataFrame, fk: str, prefix: str, optional: bool = False, key: str = "id"
+    child: DataFrame,
+    parent: DataFrame,
+    fk: str,
+    prefix: str,
+    optional: bool = False,
+    key: str = "id",
+    row_key: Iterable[str] = ("id",),
 ) -> DataFrame:
     """Join along a foreign key; parent columns come out as ``<prefix>_<column>``.
 
-    An optional key keeps the child row, and its nulls are spread over the tasks.
+    An optional key keeps the child row, and its nulls are spread over the tasks by
+    ``row_key``, the columns that tell child rows apart.
     """
     renamed = parent.select(
         F.col(key).alias("_pk"),
         *[F.col(name).alias(f"{prefix}_{name}") for name in parent.columns if name != key],
     )
     if optional:
-        spread = F.col("id") if "id" in child.columns else F.struct(*child.columns)
-        return left_lookup(child, fk, renamed, "_pk", spread)
+        return left_lookup(child, fk, renamed, "_pk", F.struct(*row_key))
     return child.join(renamed, F.col(fk) == F.col("_pk"), "inner").drop("_pk")
 
 
-# Lookups of a schedule besides its job: prefix, table, key column.
-_SCHEDULE_LOOKUPS = (
+# Lookups of a schedule block: prefix, table, key column.
+_LOOKUPS = (
     ("staff", "employees", "staff_id"),
     ("activity", "activities", "activity_id"),
     ("cost_center", "cost_centers", "cost_center_id"),
     ("quote", "quotes", "quote_id"),
     ("lead", "leads", "lead_id"),
+    ("rate", "schedule_rates", "schedule_rate"),
 )
 
 
+def _schedules_with_blocks(schedules: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``schedules`` left join ``blocks``, as an inner join plus the schedules without blocks.
+
+    A left join cannot split a schedule that owns a large part of all blocks; the
+    inner join can.
+    """
+    blocks = blocks.withColumnsRenamed({"id": "block_id", "schedule_id": "id"})
+    bare = schedules.join(blocks.select("id").distinct(), "id", "left_anti")
+    return blocks.join(schedules, "id").unionByName(bare, allowMissingColumns=True)
+
+
 def star_join(tables: Mapping[str, DataFrame], columns: Iterable[str] | None = None) -> DataFrame:
     """One wide row per schedule block (or per schedule without blocks), from all eleven tables.
 
-    Jobs meet their site and status first, and blocks their rate, so that the far
-    more numerous schedules move once less for each.
+    Jobs meet their site and status first, so that the far more numerous blocks move
+    once less for each.
     """
     jobs = fk_join(tables["jobs"], tables["sites"], "site_id", "site", optional=True)
     jobs = fk_join(jobs, tables["job_statuses"], "status_id", "status", optional=True)
-    blocks = fk_join(tables["schedule_blocks"], tables["schedule_rates"], "schedule_rate", "rate", optional=True)
-    blocks = blocks.withColumnsRenamed({"id": "block_id", "schedule_id": "_schedule"})
-    wide = fk_join(tables["schedules"], jobs, "job_id", "job", optional=True)
-    for prefix, table, fk in _SCHEDULE_LOOKUPS:
-        wide = fk_join(wide, tables[table], fk, prefix, optional=True)
-    wide = wide.join(blocks, F.col("id") == F.col("_schedule"), "left").drop("_schedule")
+    wide = _schedules_with_blocks(tables["schedules"], tables["schedule_blocks"])
+    for prefix, parent, fk in (("job", jobs, "job_id"), *[(p, tables[name], fk) for p, name, fk in _LOOKUPS]):
+        wide = fk_join(wide, parent, fk, prefix, optional=True, row_key=("id", "block_id"))
     return wide.select(*columns) if columns else wide
 
 

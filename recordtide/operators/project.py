@@ -121,12 +121,14 @@ def to_columns(
 ) -> DataFrame:
     """All projection rules together: one flat, typed row per nested record.
 
-    Ids become integers, entities foreign keys, other objects are inlined, arrays
-    stay JSON unless listed in ``skip_arrays`` (they become tables of their own).
+    Ids become integers, entities (as objects or as ``<entity>ID`` text) foreign keys,
+    other objects are inlined, arrays stay JSON unless listed in ``skip_arrays`` (they
+    become tables of their own).
     """
     flat = exclude_columns(records, entity).drop(*skip_arrays)
     for field in flat.schema.fields:
-        if field.name in _IDENTITY:
+        names_entity = field.name.endswith(("ID", "Id")) and field.name[:-2] in entities
+        if field.name in _IDENTITY or (isinstance(field.dataType, T.StringType) and names_entity):
             flat = flat.withColumn(field.name, parse_id(F.col(field.name)))
         elif isinstance(field.dataType, T.StructType):
             flat = struct_to_fk(flat, field.name) if field.name in entities else flatten_struct(flat, field.name)

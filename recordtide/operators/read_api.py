@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from recordtide.operators.project import select_columns
 
 
-def id_in_list(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+def id_in_list(df: DataFrame, ids: DataFrame, key: str = "id", unique: bool = False) -> DataFrame:
     """Rows whose key is among ``ids``, a DataFrame with the same key column.
 
-    The id set may be large, so it is a semi join and not an IN list; adaptive
-    execution broadcasts it when its measured size is small. Repeated ids go away
-    before the shuffle.
+    The id set may be large, so it is a semi join and not an IN list, broadcast only
+    when its size is small. Repeated ids go away before the shuffle. Say ``unique``
+    when they cannot repeat: then both sides are plain shuffles, and the adaptive
+    skew join can split a key that fills a large part of ``df``.
     """
-    return df.join(ids.select(key).distinct(), key, "left_semi")
+    ids = ids.select(key)
+    return df.join(ids if unique else ids.distinct(), key, "left_semi")
 
 
 def within_range(df: DataFrame, column: str, ids: DataFrame, key: str = "id") -> DataFrame:

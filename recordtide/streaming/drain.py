@@ -63,9 +63,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def current_records(records: DataFrame, ids: DataFrame) -> DataFrame:
-    """The landed records of the given ids, of each id the version modified last."""
+    """The landed records of the given distinct ids, of each id the version modified last."""
     keyed = records.withColumn("_id", parse_id(F.col("ID")))
-    keyed = id_in_list(keyed, ids.select(F.col("id").alias("_id")), "_id")
+    keyed = id_in_list(keyed, ids.select(F.col("id").alias("_id")), "_id", unique=True)
     if "DateModified" in records.columns:
         keyed = keyed.withColumn("_modified", parse_rfc3339_utc(F.col("DateModified")))
     recency = [name for name in ("_modified",) if name in keyed.columns]
@@ -92,7 +92,7 @@ def load_rows(
         ids = _union(needed[table]).distinct()
         if table in gone:
             ids = ids.join(gone[table].select("id"), "id", "left_anti")
-        picked = current_records(records(resource), ids)
+        picked = current_records(records(resource), cut_lineage(ids))
         if edges_of(table):
             picked = cut_lineage(picked)
         checked = rows_from_record(picked, resource)
@@ -177,9 +177,8 @@ class CacheSync:
         """Stored blocks of the touched schedules that the new records no longer have."""
         touched = cut_lineage(_union([rows["schedules"].select("id"), gone.select("id")]))
         blocks = self.cache.scan("schedule_blocks", before=batch_id)
-        stored = id_in_list(
-            within_range(blocks, "schedule_id", touched), touched.withColumnRenamed("id", "schedule_id"), "schedule_id"
-        )
+        near = within_range(blocks, "schedule_id", touched)
+        stored = id_in_list(near, touched.withColumnRenamed("id", "schedule_id"), "schedule_id", unique=True)
         return cut_lineage(stored.select("id").join(rows["schedule_blocks"].select("id"), "id", "left_anti"))
 
 

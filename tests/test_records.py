@@ -224,6 +224,11 @@ def test_to_columns(land):
     assert "reference" not in schedule.columns and dict(schedule.dtypes)["blocks"] == "variant"
 
 
+def test_id_text_of_a_known_entity_becomes_a_key(spark):
+    df = spark.sql("SELECT '1' ID, '5' SiteID, '6' ZoneID")
+    assert dict(to_columns(df, "Job").dtypes) == {"id": "bigint", "site_id": "bigint", "zone_id": "string"}
+
+
 def test_select_columns(spark):
     df = spark.sql("SELECT 1 a, 2 b, 3 c")
     assert select_columns(df, " c, a ").columns == ["c", "a"]

@@ -3,7 +3,13 @@
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as contract
+from recordtide.operators.dedup import rewrite_refs
+from recordtide.operators.joins import _schedules_with_blocks, fk_join, orphan_check
+from recordtide.schemas import edges_of
+from recordtide.session import cut_lineage
 from tests.conftest import TABLES
 from tests.test_catalogue import _rows
 
@@ -53,3 +59,60 @@ def test_skewed(name, shuffled, spark, skewed):
             spark.conf.unset(key)
     expected = connection.execute(contract.oracle_sql()[name])
     assert got == _rows([item[0] for item in expected.description], expected.fetchall())
+
+
+@pytest.fixture
+def sensitive(spark):
+    """Adaptive execution that calls 20 kB skewed and broadcasts nothing."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def _final_plan(frame, capsys):
+    frame.collect()
+    capsys.readouterr()
+    frame.explain()
+    return capsys.readouterr().out.split("Initial Plan")[0]
+
+
+def _hot(spark, column, rows=60_000):
+    """A third of the rows has key 1."""
+    return spark.range(0, rows, numPartitions=8).selectExpr("id", f"CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS {column}")
+
+
+@pytest.mark.parametrize("optional", [False, True])
+def test_hot_foreign_key_is_split(sensitive, capsys, optional):
+    parent = sensitive.range(0, 60_000, numPartitions=8).selectExpr("id", "id * 2 AS v")
+    joined = fk_join(_hot(sensitive, "fk"), parent, "fk", "p", optional)
+    assert joined.count() == 60_000 and "skew=true" in _final_plan(joined, capsys)
+
+
+def test_schedule_with_a_third_of_all_blocks_is_split(sensitive, capsys):
+    schedules = sensitive.range(0, 70_000, numPartitions=8).selectExpr("id", "'n' AS notes")
+    joined = _schedules_with_blocks(schedules, _hot(sensitive, "schedule_id"))
+    assert joined.where("block_id IS NOT NULL").count() == 60_000
+    assert joined.select("id").distinct().count() == 70_000 and "skew=true" in _final_plan(joined, capsys)
+
+
+def test_rewritten_hot_reference_is_split(sensitive, capsys):
+    remap = cut_lineage(sensitive.range(1, 30_000, 2, numPartitions=8).selectExpr("id AS old", "id - 1 AS new"))
+    done = rewrite_refs(_hot(sensitive, "target"), "target", remap, "id")
+    assert done.where("target = 0").count() == 20_001 and "skew=true" in _final_plan(done, capsys)
+
+
+def test_orphans_of_one_hot_missing_key_are_split(sensitive, capsys):
+    tables = {"jobs": _hot(sensitive, "site_id").withColumn("status_id", F.lit(None).cast("bigint"))}
+    targets = {"sites": sensitive.range(2, 60_000), "job_statuses": sensitive.range(1)}
+    found = orphan_check(tables, edges_of("jobs"), targets)
+    assert found.count() == 20_001 and "skew=true" in _final_plan(found, capsys)
