@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordtide.functions.scalars import parse_rfc3339_utc
 from recordtide.schemas import OPERATIONS, RESOURCES
+from recordtide.session import cut_lineage
 
 BUCKETS = len(RESOURCES) * len(OPERATIONS)
 CHUNK_BITS = 12
@@ -54,7 +55,11 @@ def bucket_domain(spark: SparkSession) -> DataFrame:
 
 
 def dense_buckets(chunks: DataFrame) -> DataFrame:
-    """``bucket_events`` output plus one empty chunk for each of the 24 pairs without ids."""
+    """``bucket_events`` output plus one empty chunk for each of the 24 pairs without ids.
+
+    The chunks are written out, as they are needed twice.
+    """
+    chunks = cut_lineage(chunks)
     pair = ["resource", "operation"]
     seen = chunks.select(*pair).distinct()
     # Both sides of this anti join hold at most 24 rows.

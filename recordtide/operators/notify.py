@@ -107,7 +107,7 @@ def classify_rejects(df: DataFrame, secret: str) -> DataFrame:
 
 
 def split_accept_reject(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Persist ``classified`` first when both sides are written."""
+    """(accepted, rejected). Persist or write out ``classified`` first when both sides are used."""
     accepted = classified.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return accepted, classified.where(F.col("reject_reason").isNotNull())
 

@@ -10,6 +10,7 @@ from recordtide.plans.queries.buffers import accepted
 from recordtide.plans.registry import query
 from recordtide.plans.sql import NOTIFICATIONS, with_ctes
 from recordtide.plans.standins import table
+from recordtide.session import cut_lineage
 
 
 @query(
@@ -26,7 +27,7 @@ def sync_sites(spark, sf_dir):
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation_id"),
         F.lit("stored").alias("state"),
     )
-    actions = collapse_batch(tenant_scope(accepted(spark, sf_dir)).where("resource = 'site'"))
+    actions = cut_lineage(collapse_batch(tenant_scope(accepted(spark, sf_dir)).where("resource = 'site'")))
     changes = sites.drop("state").join(actions, "id").select(
         "id", "name", "nation_id", F.col("operation").alias("state"), (F.col("operation") == "deleted").alias("deleted")
     )

@@ -72,7 +72,7 @@ def join(spark, sf_dir):
          LEFT JOIN schedule_blocks b ON b.schedule_id = s.id LEFT JOIN schedule_rates r ON b.schedule_rate = r.id""",
 )
 def star(spark, sf_dir):
-    wide = star_join(cache_tables(spark, sf_dir))
+    wide = star_join(cache_tables(spark, sf_dir, stored=True))
     return wide.select(
         "id", "schedule_type", "staff_name", "job_name", F.col("job_site_address_city").alias("site_address_city"),
         F.col("job_status_color").alias("status_color"), "activity_name",
@@ -110,7 +110,7 @@ def missing(spark, sf_dir):
     ),
 )
 def orphans(spark, sf_dir):
-    return orphan_check(cache_tables(spark, sf_dir)).withColumnRenamed("column", "fk_column")
+    return orphan_check(cache_tables(spark, sf_dir, stored=True)).withColumnRenamed("column", "fk_column")
 
 
 _CLOSURE = """
@@ -143,6 +143,6 @@ stored AS (
          FROM needed n LEFT JOIN stored s ON n.target = s.target AND n.id = s.id""",
 )
 def closure(spark, sf_dir):
-    cache = cache_tables(spark, sf_dir)
+    cache = cache_tables(spark, sf_dir, stored=True)
     recent = cache["schedules"].where(F.col("date_modified") >= F.lit("1999-01-01T00:00:00Z").cast("timestamp"))
     return fk_closure(cache, {"schedules": recent})

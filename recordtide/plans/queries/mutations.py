@@ -8,7 +8,7 @@ from recordtide.plans.registry import query
 from recordtide.plans.sql import CACHE, JOB_ROWS, SCHEDULE_ROWS, with_ctes
 from recordtide.plans.standins import LINE_ORDER, cache_tables, job_records, schedule_lines, schedule_records, table
 from recordtide.schemas import LOAD_LEVELS
-from recordtide.session import work_folder
+from recordtide.session import cut_lineage, work_folder
 from recordtide.sources.cache import Cache
 
 
@@ -71,7 +71,7 @@ def delete(spark, sf_dir):
     log = daily.withColumns(
         {"deleted": F.col("event_type") == "error", "segment": F.concat(F.lit("batch "), "batch")}
     )
-    return apply_changes(_base(spark, sf_dir), log, "id", F.col("batch"), ["name"], ["segment"])
+    return apply_changes(_base(spark, sf_dir), cut_lineage(log), "id", F.col("batch"), ["name"], ["segment"])
 
 
 @query(
@@ -101,7 +101,7 @@ _TABLES = [name for level in LOAD_LEVELS for name in level]
 def load(spark, sf_dir):
     """All eleven tables written level by level, then read back."""
     cache = Cache(spark, work_folder(spark, "load"))
-    tables = {name: rows.withColumn("deleted", F.lit(False)) for name, rows in cache_tables(spark, sf_dir).items()}
+    tables = {name: rows.withColumn("deleted", F.lit(False)) for name, rows in cache_tables(spark, sf_dir, stored=True).items()}
     order = ordered_load(tables, lambda name, rows: cache.write_changes(name, rows, 0))
     levels = {name: number for number, names in enumerate(LOAD_LEVELS) for name in names}
     parts = []

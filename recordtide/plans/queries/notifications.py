@@ -15,6 +15,7 @@ from recordtide.operators.notify import (
 from recordtide.plans.registry import query
 from recordtide.plans.sql import ACCEPTED, CLASSIFIED, DECODED, NOTES, SCOPED, with_ctes
 from recordtide.plans.standins import SAMPLE_SECRET, notifications
+from recordtide.session import cut_lineage
 
 
 def classified(spark, sf_dir):
@@ -75,7 +76,8 @@ def rejects(spark, sf_dir):
          FROM classified""",
 )
 def split(spark, sf_dir):
-    accepted, rejected = split_accept_reject(classified(spark, sf_dir))
+    checked = classified(spark, sf_dir).select("event_id", "reject_reason")
+    accepted, rejected = split_accept_reject(cut_lineage(checked))
     return accepted.select("event_id", F.lit("accepted").alias("side"), F.lit(None).cast("string").alias("reject_reason")).unionAll(
         rejected.select("event_id", F.lit("rejected"), "reject_reason")
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recordtide.functions.signing import hmac_sha1
 from recordtide.operators.mutate import source_key_conflict
+from recordtide.session import cut_lineage
 
 # Shared key of the sample notifications; not a real secret.
 SAMPLE_SECRET = "sample-notification-key"
@@ -211,12 +212,17 @@ def schedule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
 
 
-def cache_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eleven cache tables. Quotes and leads lack some referenced rows."""
+def cache_tables(spark: SparkSession, sf_dir: str, stored: bool = False) -> dict[str, DataFrame]:
+    """The eleven cache tables. Quotes and leads lack some referenced rows.
+
+    ``stored`` writes the unique schedule lines out, for plans that read them often.
+    """
     customer, orders, part, supplier, lineitem = (
         table(spark, sf_dir, name) for name in ("customer", "orders", "part", "supplier", "lineitem")
     )
     lines = source_key_conflict(schedule_lines(spark, sf_dir), "id", LINE_ORDER)
+    if stored:
+        lines = cut_lineage(lines)
     kind = "l_linenumber % 4"
     schedules = lines.select(
         "id",

@@ -115,6 +115,14 @@ def test_one_bad_row_does_not_stop_the_rest_unless_asked(land):
         rows_from_record(jobs, "job", "fail").collect()
 
 
+def test_unreadable_line_is_rejected(spark, tmp_path):
+    (tmp_path / "quote").mkdir()
+    (tmp_path / "quote" / "a.json").write_text('{"ID": "1", "Name": "x"}\n{"ID": \n{"ID": 2, "Name": 3}\n')
+    rows = rows_from_record(record_scan(spark, str(tmp_path), "quote"), "quote")
+    assert sorted(map(tuple, accepted_rows(rows).collect())) == [(1, "x"), (2, "3")]
+    assert [r.reject_columns for r in rejected_rows(rows).collect()] == [["id", "name"]]
+
+
 def test_bad_reference_rejects(land):
     rows = rows_from_record(land("schedule", {**SCHEDULE, "Type": "activity", "Reference": "4x"}), "schedule")
     assert rejected_rows(rows).first().reject_columns == ["reference"]
