@@ -8,8 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordtide.llm import jaccard_join, quality_rules
-from recordtide.llm.tables import table
+from recordtide.llm import (
+    decontaminate, html_text, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files,
+)
+from recordtide.llm.tables import table, tokenizer_file
+from recordtide.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +38,41 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.classes(table(spark, folder, "documents"))
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, table(spark, folder, "labels")))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.removed(table(spark, folder, "documents"))
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = work_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, folder, "documents"), target, tokenizer_file("byte_bpe_50k.json"))
+    return token_files.read_documents(spark, target)

@@ -25,4 +25,11 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-__all__ = ["cut_lineage", "keyed_texts", "small", "table"]
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's vocabulary, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+__all__ = ["cut_lineage", "keyed_texts", "small", "table", "tokenizer_file"]
