@@ -18,12 +18,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Workers find the package where the driver has it, unless told otherwise."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def query(plan: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Register a query under its function's name. Workers find the package where the driver has it, unless told otherwise."""
+    """Register a query under its function's name."""
 
     @wraps(plan)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        importable(spark)
         return plan(spark, folder)
 
     QUERIES[plan.__name__] = run
