@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from recordtide.llm import (
-    decontaminate, html_text, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files,
+    decontaminate, html_text, jaccard_join, license_scan, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files,
 )
 from recordtide.llm.tables import table, tokenizer_file
 from recordtide.session import work_folder
@@ -60,6 +60,11 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
