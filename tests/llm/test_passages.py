@@ -1,0 +1,175 @@
+"""Jaccard join, repeated windows and benchmark passages against brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from recordtide.llm import decontaminate, jaccard_join, substring_dedup
+from recordtide.llm import words as W
+from tests.llm.conftest import ODD_ROWS, prose
+
+
+def spaced(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def rows_of(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=repr)
+
+
+def linked_components(rows, width, percent):
+    sets = []
+    for doc_id, text in rows:
+        words = spaced(lower(text))
+        k = min(width, len(words))
+        sets.append((doc_id, frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1)) if words else frozenset()))
+    up = {doc_id: doc_id for doc_id, _ in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                low, high = sorted((top(a), top(b)))
+                up[high] = low
+    return [(doc_id, len(found), top(doc_id)) for doc_id, found in sets]
+
+
+def near_copies(n, size, most):
+    import random
+
+    choose, base, out = random.Random(n), prose(99, size).split(), []
+    for k in range(n):
+        words = list(base)
+        for _ in range(choose.randint(0, most)):
+            at, kind = choose.randrange(len(words)), choose.random()
+            if kind < 0.7:
+                words[at] = f"new{choose.randrange(40)}"
+            elif kind < 0.85:
+                del words[at]
+            else:
+                words.insert(at, f"more{choose.randrange(40)}")
+        out.append((1000 + k, " ".join(words)))
+    return out
+
+
+def test_jaccard_join_finds_the_components_of_near_copies(spark, monkeypatch):
+    # Small leaves make every kind of region come up.
+    monkeypatch.setattr(jaccard_join, "LEAF", 3)
+    monkeypatch.setattr(jaccard_join, "LATER_LEAF", 12)
+    rows = near_copies(120, 60, 6) + [(5000 + k, prose(k, k % 7)) for k in range(40)] + [(i, t) for i, t in ODD_ROWS if i and i not in (3, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert rows_of(jaccard_join.classes(docs)) == sorted(linked_components(rows, 3, 90), key=repr)
+    monkeypatch.setattr(jaccard_join, "LEAF", 32)
+    assert rows_of(jaccard_join.classes(docs, percent=80)) == sorted(linked_components(rows, 3, 80), key=repr)
+
+
+def test_jaccard_join_on_odd_rows(odd, none):
+    got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in jaccard_join.classes(odd).collect()}
+    assert got[(1, True)] == got[(2, True)] == 1 and got[(3, True)] == 3 and got[(11, True)] == 3
+    assert got[(4, False)] == 4 and got[(5, False)] == 5 and got[(7, False)] == 7 and got[(8, True)] == 8
+    assert got[(None, True)] is None and got[(None, False)] is None
+    assert jaccard_join.classes(odd).count() == len(ODD_ROWS) and jaccard_join.classes(none).count() == 0
+
+
+def kept_by_brute_force(rows, width):
+    counts = Counter()
+    for doc_id, text in rows:
+        if doc_id is not None:
+            words = spaced(text)
+            counts.update(tuple(words[k : k + width]) for k in range(len(words) - width + 1))
+    out = []
+    for doc_id, text in rows:
+        words = spaced(text)
+        gone = [False] * len(words)
+        for k in range(len(words) - width + 1 if doc_id is not None else 0):
+            if counts[tuple(words[k : k + width])] > 1:
+                gone[k : k + width] = [True] * width
+        kept = [w for w, g in zip(words, gone) if not g]
+        out.append((doc_id, len(words), sum(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_repeated_windows_go(spark, odd, none):
+    assert rows_of(substring_dedup.removed(odd)) == kept_by_brute_force(ODD_ROWS, 35)
+    assert substring_dedup.removed(none).count() == 0
+    passage = prose(50, 60).split()
+    rows = [(k, " ".join(prose(100 + k, 50).split() + passage[k : k + 30 + k] + prose(200 + k, 9 * k).split())) for k in range(12)]
+    rows += [(20, " ".join(["same"] * 90)), (21, " ".join(passage[:34])), (22, " ".join(passage[:35])), (23, " ".join(passage + passage))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for width, run in ((35, 12), (8, 3), (5, 5), (2, 1)):
+        assert rows_of(substring_dedup.removed(docs, width, run)) == kept_by_brute_force(rows, width)
+    texts = {r["doc_id"]: r["kept"] for r in substring_dedup.removed(docs, with_text=True).collect()}
+    assert texts[23] == "" and texts[21] is None
+
+
+def test_repeated_windows_of_the_corpus(documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    assert rows_of(substring_dedup.removed(documents)) == kept_by_brute_force(rows, 35)
+
+
+def passages_by_brute_force(rows, items, width=10):
+    split = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    windows = defaultdict(set)
+    for item, text in items:
+        words = split(text)
+        k = min(width, len(words))
+        for i in range(len(words) - k + 1 if words and item is not None else 0):
+            windows[tuple(words[i : i + k])].add(str(item))
+    out = []
+    for doc_id, text in rows:
+        words, found = split(text), set()
+        hit = [False] * len(words)
+        for k in {len(w) for w in windows}:
+            for i in range(len(words) - k + 1):
+                if owners := windows.get(tuple(words[i : i + k])):
+                    found |= owners
+                    hit[i : i + k] = [True] * k
+        names = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(words), sum(hit), len(found), names, any(hit)))
+    return sorted(out, key=repr)
+
+
+def test_benchmark_passages(spark, odd, none):
+    words = prose(9, 20_000).split()
+    items = [
+        (1, " ".join(words[500:530]).upper()), (2, " ".join(words[510:520])), (3, "x" * 70_000), (4, ""), (5, None), (None, "one two"),
+        (6, "one two"), (7, "日本"), (8, " ".join(words[900:909])), (9, " ".join(words[900:909])), (9, "lo-lo"), (10, "the"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("item_id", "text", "1 AS doc_id")
+    expected = passages_by_brute_force(ODD_ROWS, items)
+    assert rows_of(decontaminate.contamination(odd, bench)) == expected
+    assert rows_of(decontaminate.contamination(odd, bench, block=20)) == expected  # several blocks
+    assert decontaminate.contamination(none, bench).count() == 0
+    clean = decontaminate.contamination(odd, bench.filter("1 = 0"))
+    assert clean.filter("contaminated").count() == 0 and clean.count() == len(ODD_ROWS)
+
+
+def test_benchmark_passages_of_the_corpus(spark, documents):
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
+    assert rows_of(decontaminate.contamination(documents, bench)) == passages_by_brute_force(rows, items)
+
+
+def test_rolling_values_and_minima():
+    hashes = np.random.default_rng(0).integers(0, 5, 300).astype(np.uint64)
+    values = W.rolling(hashes, 4)
+    same = defaultdict(set)
+    for i, v in enumerate(values.tolist()):
+        same[v].add(tuple(hashes[i : i + 4].tolist()))
+    assert len(values) == 297 and all(len(s) == 1 for s in same.values())
+    for width in (1, 2, 3, 7, 16, 24):
+        small = np.random.default_rng(width).integers(0, 6, 90).astype(np.uint64)
+        for i, at in enumerate(W.window_minima(small, width).tolist()):
+            window = small[i : i + width]
+            assert small[at] == window.min() and at == i + width - 1 - int(np.argmin(window[::-1]))
