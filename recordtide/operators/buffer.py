@@ -11,6 +11,7 @@ from recordtide.session import cut_lineage
 
 BUCKETS = len(RESOURCES) * len(OPERATIONS)
 CHUNK_BITS = 12
+_UNREADABLE = -(2**62)
 
 
 def _ordinal(value: Column, domain: tuple[str, ...]) -> Column:
@@ -80,12 +81,15 @@ def collapse_batch(accepted: DataFrame) -> DataFrame:
     deleted > updated > created. An unreadable time sorts first.
     """
     rank = _ordinal(F.col("operation"), OPERATIONS)
-    moment = F.struct(parse_rfc3339_utc(F.col("date_triggered")).alias("at"), rank.alias("rank"))
-    # (instant, rank) fully orders the actions, so the maximum alone is the answer.
+    micros = F.unix_micros(parse_rfc3339_utc(F.col("date_triggered")))
+    # (instant, rank) fully orders the actions, so the maximum alone is the answer. Packed into one number it is a plain
+    # hash aggregate; instants from year 1 to 9999 stay far from the value of an unreadable one.
+    moment = F.coalesce(micros * 4, F.lit(_UNREADABLE)) + rank
     last = accepted.select("resource", "id", moment.alias("moment")).groupBy("resource", "id").agg(
         F.max("moment").alias("moment")
     )
+    micros = F.shiftright(F.when(F.col("moment") >= _UNREADABLE + 4, F.col("moment")), 2)
     return last.select(
         "resource", "id",
-        _name(F.col("moment.rank"), OPERATIONS).alias("operation"), F.col("moment.at").alias("triggered_at"),
+        _name(F.pmod(F.col("moment"), F.lit(4)), OPERATIONS).alias("operation"), F.timestamp_micros(micros).alias("triggered_at"),
     )

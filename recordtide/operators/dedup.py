@@ -25,14 +25,17 @@ def elect_canonical(members: DataFrame, content: str, name: str, family: str | N
     """Per content with several members: ``(content, n, canonical)``.
 
     With ``family``, groups that mix families are left alone: equal by chance, not
-    the same thing. Count and minimum aggregate before the shuffle.
+    the same thing; a missing family is a family of its own. Missing content equals
+    nothing. Count and minimum aggregate before the shuffle.
     """
+    members = members.where(F.col(content).isNotNull())
     facts = [F.count("*").alias("n"), F.min(canonical_rank(F.col(name))).alias("best")]
     if family:
-        facts += [F.min(family).alias("first_family"), F.max(family).alias("last_family")]
+        facts += [F.min(family).alias("first_family"), F.max(family).alias("last_family"), F.count(family).alias("n_family")]
     groups = members.groupBy(content).agg(*facts).where(F.col("n") > 1)
     if family:
-        groups = groups.where(F.col("first_family").eqNullSafe(F.col("last_family")))
+        one = (F.col("first_family") == F.col("last_family")) & (F.col("n_family") == F.col("n"))
+        groups = groups.where((F.col("n_family") == 0) | one)
     return groups.select(content, "n", F.col("best.name").alias("canonical"))
 
 
@@ -82,11 +85,11 @@ def dedup_fixpoint(nodes: DataFrame, refs: DataFrame, family: str | None = None)
     node, so the loop ends by itself and needs no bound.
     """
     labels = ["id", "content"] + ([family] if family else [])
-    alive, edges, remap = nodes.select(*labels), refs.select("owner", "slot", "target"), None
+    alive, edges, remap = nodes.select(*labels), refs.select("owner", "slot", "target").distinct(), None
     while True:
         prints = _reference_print(edges)
         full = alive.join(prints, "id", "left").withColumn(
-            "content", F.sha2(F.concat_ws("|", F.coalesce("refs_print", F.lit("")), "content"), 256)
+            "content", F.sha2(F.concat(F.coalesce("refs_print", F.lit("")), F.lit("|"), "content"), 256)
         )
         step = cut_lineage(remap_table(full, "content", "id", family))
         if step.isEmpty():
@@ -94,7 +97,7 @@ def dedup_fixpoint(nodes: DataFrame, refs: DataFrame, family: str | None = None)
         dropped = step.select(F.col("old").alias("id"))
         alive = cut_lineage(alive.join(dropped, "id", "left_anti"))
         edges = edges.join(dropped.withColumnRenamed("id", "owner"), "owner", "left_anti")
-        edges = cut_lineage(rewrite_refs(edges, "target", step, "owner"))
+        edges = cut_lineage(rewrite_refs(edges, "target", step, "owner").distinct())
         if remap is not None:
             step = rewrite_refs(remap, "new", step, "old").unionByName(step)
         remap = cut_lineage(step)

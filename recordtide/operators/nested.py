@@ -112,14 +112,15 @@ def nested_entity(records: DataFrame, path: str, columns: Mapping[str, str]) ->
     """Rows of an entity that only occurs nested in other records, one per id.
 
     ``columns`` maps cache column -> field under ``path``. Mentions of one id may
-    differ; the least value per column is kept, which partial aggregation settles
-    before the shuffle.
+    differ; that of the record modified last is kept as a whole, equal times being
+    settled by the greater one. Partial aggregation settles it before the shuffle.
     """
+    modified = parse_rfc3339_utc(F.col("DateModified")) if "DateModified" in records.columns else F.lit(None).cast("timestamp")
     mentions = records.select(
-        parse_id(F.col(f"{path}.ID")).alias("id"),
+        parse_id(F.col(f"{path}.ID")).alias("id"), modified.alias("_modified"),
         *[F.col(f"{path}.{field}").alias(name) for name, field in columns.items()],
     ).where(F.col("id").isNotNull())
-    return mentions.groupBy("id").agg(*[F.min(name).alias(name) for name in columns])
+    return mentions.groupBy("id").agg(F.max(F.struct("_modified", *columns)).alias("_last")).select("id", *[f"_last.{c}" for c in columns])
 
 
 def derived_rows(records: DataFrame, resource: str) -> dict[str, DataFrame]:
@@ -127,7 +128,7 @@ def derived_rows(records: DataFrame, resource: str) -> dict[str, DataFrame]:
     if resource == "job":
         return {"job_statuses": nested_entity(records, "Status", {"color": "Color", "name": "Name"})}
     if resource == "schedule":
-        blocks = records.select(F.explode("Blocks").alias("block"))
+        blocks = records.select("DateModified", F.explode("Blocks").alias("block"))
         rates = nested_entity(blocks, "block.ScheduleRate", {"name": "Name"})
         return {
             "schedule_rates": rates,

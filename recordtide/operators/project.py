@@ -131,7 +131,7 @@ def to_columns(
         if field.name in _IDENTITY or (isinstance(field.dataType, T.StringType) and names_entity):
             flat = flat.withColumn(field.name, parse_id(F.col(field.name)))
         elif isinstance(field.dataType, T.StructType):
-            flat = struct_to_fk(flat, field.name) if field.name in entities else flatten_struct(flat, field.name)
+            flat = struct_to_fk(flat, field.name) if field.name in entities else flatten_struct(flat, field.name, [name for name in flat.columns if name != field.name])
         elif isinstance(field.dataType, T.ArrayType):
             flat = json_fallback(flat, field.name)
     return promote_temporal(normalise_names(flat))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import and_, or_
@@ -54,13 +55,42 @@ def op_filter(column: Column, operator: str, *values) -> Column:
     return _COMPARE[operator](column, *values)
 
 
-def search_match(conditions: Mapping[str, tuple], match: str = "all") -> Column:
-    """Combine ``{column: (operator, values...)}``: a row must match all, or any, of them."""
+_CALL = re.compile(r"\s*(!?\w+)\s*\((.*)\)\s*", re.DOTALL)
+
+
+def parse_search(text: str) -> tuple:
+    """The text form of a condition: ``"between(2,5)"`` becomes ``("between", "2", "5")``.
+
+    Values are parted by commas and stay text, which comparisons turn into the column's type. Text without an operator is
+    a value to equal.
+    """
+    call = _CALL.fullmatch(text)
+    if not call:
+        return "eq", text
+    operator, values = call[1], tuple(value.strip() for value in call[2].split(","))
+    if operator not in _COMPARE:
+        raise ValueError(f"unknown operator {operator!r}, use one of {', '.join(_COMPARE)}")
+    wanted = 2 if operator == "between" else None if operator in ("in", "!in") else 1
+    if "" in values or wanted not in (None, len(values)):
+        raise ValueError(f"wrong number of values: {text!r}")
+    return operator, *values
+
+
+def search_match(conditions: Mapping[str, tuple | str] | Iterable[tuple], match: str = "all") -> Column:
+    """Combine conditions: a row must match all, or any, of them.
+
+    Conditions are ``{column: (operator, values...)}`` or, for several on one column, ``(column, operator, values...)``.
+    In place of operator and values a text such as ``"in(1,2,3)"`` may stand.
+    """
     if match not in ("all", "any"):
         raise ValueError("match must be 'all' or 'any'")
-    if not conditions:
+    if isinstance(conditions, Mapping):
+        conditions = [(name, *([how] if isinstance(how, str) else how)) for name, how in conditions.items()]
+    predicates = [
+        op_filter(F.col(name), *(parse_search(how[0]) if len(how) == 1 else how)) for name, *how in conditions
+    ]
+    if not predicates:
         return F.lit(True)
-    predicates = [op_filter(F.col(name), *condition) for name, condition in conditions.items()]
     return reduce(and_ if match == "all" else or_, predicates)
 
 
@@ -97,14 +127,15 @@ def paginate(
     if after is not None:
         if len(columns) > 1:
             raise ValueError("after= needs an order by the key alone")
-        descending = not isinstance(orderby, str) or orderby.strip().startswith("-")
+        names = orderby.split(",") if isinstance(orderby, str) else list(orderby or [])
+        descending = any(name.strip() == f"-{key}" for name in names)
         df = df.where(F.col(key) < after if descending else F.col(key) > after)
     return df.orderBy(*columns).offset((page - 1) * page_size).limit(page_size)
 
 
 def list_records(
     df: DataFrame,
-    search: Mapping[str, tuple] | None = None,
+    search: Mapping[str, tuple | str] | Iterable[tuple] | None = None,
     match: str = "all",
     orderby: str | Iterable[str] = "",
     page: int | None = None,
@@ -112,11 +143,14 @@ def list_records(
     limit: int | None = None,
     columns: str | Iterable[str] | None = None,
     key: str = "id",
+    after=None,
 ) -> DataFrame:
-    """Filter, then sort, then page or limit, then project."""
+    """Filter, then sort, then page or limit, then project. ``page`` and ``after`` need a ``page_size``."""
     found = df.where(search_match(search or {}, match))
-    if page_size:
-        found = paginate(found, page or 1, page_size, orderby, key)
+    if page_size is None and (page is not None or after is not None):
+        raise ValueError("page and after need a page_size")
+    if page_size is not None:
+        found = paginate(found, 1 if page is None else page, page_size, orderby, key, after)
         if limit is not None:
             found = found.limit(limit)
     else:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +40,11 @@ def duplicate_groups(df: DataFrame, content: Column, member: Column) -> DataFram
 
     Counts and the least member aggregate before the shuffle; member lists, which
     grow with the data, are never gathered. ``duplicate_members`` gives them as rows.
+    Missing content equals nothing.
     """
     return (
-        df.groupBy(content.alias("content"))
-        .agg(F.count("*").alias("n"), F.min(member).alias("first_member"))
+        df.select(content.alias("content"), member.alias("member")).where(F.col("content").isNotNull()).groupBy("content")
+        .agg(F.count("*").alias("n"), F.min("member").alias("first_member"))
         .where(F.col("n") > 1)
     )
 
@@ -72,12 +75,15 @@ def fold_partial_views(full: DataFrame, partial: DataFrame, key: str = "id") ->
     """Add entities that are only known from a narrower view; known ones stay as they are.
 
     The narrow view must have a subset of the full columns. Of several mentions of
-    one id the least value per column counts, settled before the shuffle.
+    one id the one with the fewest gaps counts as a whole, then the least, settled
+    before the shuffle.
     """
     extra = set(partial.columns) - set(full.columns)
     rest = [name for name in partial.columns if name != key]
     if extra or not rest:
         raise ValueError(f"not a narrower view of {full.columns}: {partial.columns}")
-    mentions = partial.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(name).alias(name) for name in rest])
+    gaps = reduce(add, [F.col(name).isNull().cast("int") for name in rest])
+    mention = F.min(F.struct(gaps.alias("_gaps"), *rest)).alias("_mention")
+    mentions = partial.where(F.col(key).isNotNull()).groupBy(key).agg(mention).select(key, *[f"_mention.{name}" for name in rest])
     unknown = mentions.join(full.select(key), key, "left_anti")
     return union_missing(full, unknown)

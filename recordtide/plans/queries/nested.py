@@ -8,6 +8,7 @@ from recordtide.operators.nested import (
     array_to_junction,
     declared_junction,
     explode_blocks,
+    nested_entity,
     rows_from_record,
 )
 from recordtide.plans.registry import query
@@ -161,3 +162,18 @@ def rows(spark, sf_dir):
     for part in parts[1:]:
         result = result.unionAll(part)
     return result
+
+
+@query(
+    "merge_mentions",
+    """SELECT id, name, color FROM (
+         SELECT o_custkey AS id, o_orderstatus AS name, o_orderpriority AS color, row_number() OVER (
+           PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus DESC, o_orderpriority DESC) AS rn FROM orders)
+       WHERE rn = 1""",
+)
+def merge_mentions(spark, sf_dir):
+    """Mentions of one entity that differ: that of the record modified last counts as a whole."""
+    status = F.struct(F.col("o_custkey").cast("string").alias("ID"), F.col("o_orderstatus").alias("Name"), F.col("o_orderpriority").alias("Color"))
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'")
+    mentioned = table(spark, sf_dir, "orders").select(status.alias("Status"), stamp.alias("DateModified"))
+    return nested_entity(mentioned, "Status", {"name": "Name", "color": "Color"})

@@ -81,3 +81,19 @@ def list_records(spark, sf_dir):
         orders(spark, sf_dir), search={"o_orderstatus": ("eq", "F"), "o_custkey": ("ge", 1000)}, match="any",
         orderby="-o_totalprice", page=2, page_size=50, columns="o_orderkey,o_totalprice", key="o_orderkey",
     )
+
+
+@query("paginate_after", f"{_SELECT} WHERE o_orderkey > 100 ORDER BY o_orderkey LIMIT 250")
+def paginate_after(spark, sf_dir):
+    return read_api.paginate(orders(spark, sf_dir), 1, 250, ["o_orderkey"], "o_orderkey", after=100)
+
+
+@query(
+    "parse_search",
+    """SELECT o_orderkey FROM orders
+       WHERE o_custkey >= 20 AND o_custkey < 900 AND o_orderstatus IN ('F', 'P') AND o_totalprice BETWEEN 1000 AND 200000""",
+)
+def parse_search(spark, sf_dir):
+    """Several conditions on one column, in text form."""
+    wanted = [("o_custkey", "ge(20)"), ("o_custkey", "lt", 900), ("o_orderstatus", "in(F, P)"), ("o_totalprice", "between(1000,200000)")]
+    return orders(spark, sf_dir).where(read_api.search_match(wanted)).select("o_orderkey")

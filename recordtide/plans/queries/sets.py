@@ -63,15 +63,15 @@ def union(spark, sf_dir):
 
 @query(
     "merge_existing_wins",
-    """SELECT coalesce(c.c_custkey, o.o_custkey) AS id, c.c_name AS name,
+    """SELECT coalesce(c.id, o.o_custkey) AS id, c.c_name AS name,
               coalesce(CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment END, o.first_priority) AS label, o.last_status
-       FROM (SELECT * FROM customer WHERE c_nationkey < 20) c
+       FROM (SELECT *, c_custkey + CASE WHEN c_nationkey < 20 THEN 0 ELSE 1000000000 END AS id FROM customer) c
        FULL JOIN (SELECT o_custkey, min(o_orderpriority) AS first_priority, max(o_orderstatus) AS last_status
-                  FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey""",
+                  FROM orders GROUP BY o_custkey) o ON c.id = o.o_custkey""",
 )
 def merge(spark, sf_dir):
-    existing = table(spark, sf_dir, "customer").where("c_nationkey < 20").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+    existing = table(spark, sf_dir, "customer").select(
+        F.expr("c_custkey + CASE WHEN c_nationkey < 20 THEN 0 ELSE 1000000000 END").alias("id"), F.col("c_name").alias("name"),
         F.expr("CASE WHEN c_acctbal >= 0 THEN c_mktsegment END").alias("label"),
     )
     incoming = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
@@ -82,16 +82,19 @@ def merge(spark, sf_dir):
 
 @query(
     "fold_partial_views",
-    """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_acctbal >= 0
-       UNION ALL SELECT DISTINCT o_custkey, 'Site ' || o_custkey, NULL FROM orders
-       WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+    """WITH known AS (
+         SELECT c_custkey + CASE WHEN c_acctbal >= 0 THEN 0 ELSE 1000000000 END AS id, c_name AS name, c_mktsegment AS segment
+         FROM customer)
+       SELECT * FROM known
+       UNION ALL SELECT o_custkey, min('Site ' || o_orderpriority), NULL FROM orders
+       WHERE o_custkey NOT IN (SELECT id FROM known) GROUP BY o_custkey""",
 )
 def fold(spark, sf_dir):
-    full = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+    full = table(spark, sf_dir, "customer").select(
+        F.expr("c_custkey + CASE WHEN c_acctbal >= 0 THEN 0 ELSE 1000000000 END").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
     )
     partial = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("id"), F.expr("concat('Site ', o_custkey)").alias("name")
+        F.col("o_custkey").alias("id"), F.expr("concat('Site ', o_orderpriority)").alias("name")
     )
     return fold_partial_views(full, partial)
 

@@ -152,7 +152,7 @@ def sync(spark, sf_dir):
         land_records(records(spark, sf_dir, resource), f"{root}/records", resource)
     cache = Cache(spark, f"{root}/cache")
     job = CacheSync(
-        cache, lambda resource: record_scan(spark, f"{root}/records", resource), SAMPLE_SECRET, f"{root}/rejects"
+        cache, lambda resource: record_scan(spark, f"{root}/records", resource, landed=True), SAMPLE_SECRET, f"{root}/rejects"
     )
     stream = notification_source(spark, f"{root}/landed", stream=True)
     cache_upsert_sink(stream, job, f"{root}/checkpoint").awaitTermination()

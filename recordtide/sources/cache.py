@@ -13,6 +13,9 @@ from recordtide.schemas import CACHE_TABLES, payload_columns
 # The base is sorted by this column, so that readers of a key range skip row groups.
 _CLUSTERED_BY = {"schedule_blocks": "schedule_id"}
 
+_PENDING = T.StructType(
+    [T.StructField("table", T.StringType()), T.StructField("id", T.LongType()), T.StructField("batch_id", T.LongType())]
+)
 _COMPACTIONS = T.StructType([T.StructField("table", T.StringType()), T.StructField("upto", T.LongType())])
 
 
@@ -51,6 +54,23 @@ class Cache:
             f"{self.root}/log/{table}"
         )
 
+    def write_pending(self, ids: DataFrame, batch_id: int) -> None:
+        """Note the ``(table, id)`` of notified records that a batch did not find."""
+        rows = ids.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        # A marker row keeps the partition there when nothing is pending, as the last partition is the one that counts.
+        marker = self.spark.createDataFrame([(None, None, batch_id)], _PENDING)
+        rows.select(*_PENDING.names).unionByName(marker).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch_id").parquet(f"{self.root}/pending")
+
+    def pending(self, before: int | None = None) -> DataFrame:
+        """The ``(table, id)`` still pending after the last batch, or after the last one before ``before``."""
+        noted = self._read(f"{self.root}/pending", _PENDING)
+        if before is not None:
+            noted = noted.where(F.col("batch_id") < before)
+        last = noted.agg(F.max("batch_id")).first()[0]
+        return noted.where(F.col("batch_id") == F.lit(last)).where(F.col("id").isNotNull()).select("table", "id")
+
     def log(self, table: str) -> DataFrame:
         return self._read(f"{self.root}/log/{table}", _log_schema(table))
 

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordtide.schemas import RECORDS
 
 
-def record_scan(spark: SparkSession, folder: str, resource: str, pages: bool = False) -> DataFrame:
+def record_scan(spark: SparkSession, folder: str, resource: str, pages: bool = False, landed: bool = False) -> DataFrame:
     """Typed records of one of the nine resources.
 
     ``pages=True`` reads files that each hold one JSON array, a page of a list
     response; otherwise every line is a record, which lets Spark split large files.
+    ``landed=True`` adds ``Landed``, the time the record's file was written: of two
+    versions of a record without a modification date the later file has the later one.
     """
-    reader = spark.read.schema(RECORDS[resource])
-    return reader.json(f"{folder}/{resource}", multiLine=pages)
+    records = spark.read.schema(RECORDS[resource]).json(f"{folder}/{resource}", multiLine=pages)
+    return records.select("*", F.col("_metadata.file_modification_time").alias("Landed")) if landed else records
 
 
 def land_records(records: DataFrame, folder: str, resource: str) -> None:

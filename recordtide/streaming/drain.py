@@ -63,28 +63,29 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def current_records(records: DataFrame, ids: DataFrame) -> DataFrame:
-    """The landed records of the given distinct ids, of each id the version modified last."""
+    """The landed records of the given distinct ids, of each id the version modified last, or else landed last."""
     keyed = records.withColumn("_id", parse_id(F.col("ID")))
     keyed = id_in_list(keyed, ids.select(F.col("id").alias("_id")), "_id", unique=True)
     if "DateModified" in records.columns:
         keyed = keyed.withColumn("_modified", parse_rfc3339_utc(F.col("DateModified")))
-    recency = [name for name in ("_modified",) if name in keyed.columns]
-    return source_key_conflict(keyed, "_id", recency).drop("_id", "_modified")
+    recency = [name for name in ("_modified", "Landed") if name in keyed.columns]
+    return source_key_conflict(keyed, "_id", recency).drop("_id", "_modified", "Landed")
 
 
 def load_rows(
     records: Callable[[str], DataFrame], wanted: Mapping[str, DataFrame], gone: Mapping[str, DataFrame]
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Cache rows of the wanted ids and of everything they reference, and the bad records.
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """Cache rows of the wanted ids and of everything they reference, the bad records, and the wanted ids without a record.
 
     ``wanted`` maps table -> ids; ids in ``gone`` are left out even when referenced.
     Walks down the foreign keys: schedules, then jobs, then the tables without any.
-    Each record list is scanned once; what the next level needs is written out.
+    Each record list is scanned once: what is found in it is written out.
     """
     needed = {table: [ids.select("id")] for table, ids in wanted.items()}
     rows: dict[str, DataFrame] = {}
     mentions: dict[str, DataFrame] = {}
     bad: list[DataFrame] = []
+    missing: list[DataFrame] = []
     for table in _TOP_DOWN:
         if table not in needed:
             continue
@@ -92,12 +93,13 @@ def load_rows(
         ids = _union(needed[table]).distinct()
         if table in gone:
             ids = ids.join(gone[table].select("id"), "id", "left_anti")
-        picked = current_records(records(resource), cut_lineage(ids))
-        if edges_of(table):
-            picked = cut_lineage(picked)
-        checked = rows_from_record(picked, resource)
-        if edges_of(table):
-            checked = cut_lineage(checked)
+        ids = cut_lineage(ids)
+        picked = cut_lineage(current_records(records(resource), ids))
+        checked = cut_lineage(rows_from_record(picked, resource))
+        if table in wanted:
+            absent = ids.join(picked.select(parse_id(F.col("ID")).alias("id")), "id", "left_anti")
+            told = wanted[table].select("id").distinct()
+            missing.append(absent.join(told, "id", "left_semi").select(F.lit(table).alias("table"), "id"))
         bad.append(rejected_rows(checked).select(F.lit(table).alias("table"), "id", "reject_columns"))
         rows[table] = accepted_rows(checked)
         sound = picked.withColumn("_id", parse_id(F.col("ID"))).join(
@@ -118,7 +120,7 @@ def load_rows(
                 F.lit("schedule_blocks").alias("table"), "id", F.array(F.lit("block")).alias("reject_columns")
             )
         )
-    return rows, _union(bad)
+    return rows, _union(bad), _union(missing)
 
 
 def _changes(table: str, rows: DataFrame | None, dropped: DataFrame | None) -> DataFrame:
@@ -159,14 +161,21 @@ class CacheSync:
         self.apply(actions, batch_id)
 
     def apply(self, actions: DataFrame, batch_id: int) -> None:
-        """Load the rows behind collapsed ``(resource, id, operation)`` actions."""
+        """Load the rows behind collapsed ``(resource, id, operation)`` actions.
+
+        An id whose record has not landed yet stays pending and is tried again by each later batch, until its record is
+        there or it is deleted.
+        """
         wanted, gone = {}, {}
+        late = self.cache.pending(before=batch_id)
         for resource in NOTIFIED_RESOURCES:
             own = actions.where(F.col("resource") == resource)
-            wanted[RESOURCE_TABLES[resource]] = own.where(F.col("operation") != "deleted").select("id")
+            overdue = late.where(F.col("table") == RESOURCE_TABLES[resource]).select("id")
+            wanted[RESOURCE_TABLES[resource]] = own.where(F.col("operation") != "deleted").select("id").union(overdue)
             gone[RESOURCE_TABLES[resource]] = own.where(F.col("operation") == "deleted").select("id")
-        rows, bad = load_rows(self.records, wanted, gone)
+        rows, bad, missing = load_rows(self.records, wanted, gone)
         reject_sink(bad, f"{self.rejects}/records", batch_id)
+        self.cache.write_pending(missing, batch_id)
         dropped = {**gone, "schedule_blocks": self._stale_blocks(rows, gone["schedules"], batch_id)}
         changes = {
             table: _changes(table, rows.get(table), dropped.get(table)) for table in rows.keys() | dropped.keys()

@@ -66,7 +66,7 @@ class World:
             (root / "records" / resource).mkdir(parents=True)
         (root / "landed").mkdir()
         self.sync = CacheSync(
-            self.cache, lambda name: record_scan(spark, f"{root}/records", name), SECRET, f"{root}/rejects"
+            self.cache, lambda name: record_scan(spark, f"{root}/records", name, landed=True), SECRET, f"{root}/rejects"
         )
 
     def _write(self, folder, items):
@@ -287,3 +287,21 @@ def test_key_range_reaches_the_base_scan(spark, tmp_path, capsys):
     near.explain("formatted")
     assert "GreaterThanOrEqual(schedule_id,7), LessThanOrEqual(schedule_id,9)" in capsys.readouterr().out
     assert rows(within_range(cache.scan("schedule_blocks"), "schedule_id", some.where("id < 0"))) == []
+
+
+def test_record_that_lands_after_its_notification(world):
+    """An accepted id without a record waits; replaying the batch changes nothing; a delete clears it."""
+    world.notify(note("site.created", {"siteID": 777}), note("site.created", {"siteID": 778}))
+    world.drain()
+    assert world.ids("sites") == [] and {r.id for r in world.cache.pending().collect()} == {777, 778}
+    world.land("site", site(777), site(778))
+    world.notify(note("site.deleted", {"siteID": 778}))
+    world.drain()
+    assert world.ids("sites") == [777] and world.cache.pending().collect() == []
+
+
+def test_later_landed_version_wins_without_a_modification_date(world):
+    world.land("employee", {"ID": "2", "Name": "Amy", "Position": "x"})
+    world.notify(note("schedule.created", {"scheduleID": 100}))
+    world.drain()
+    assert [r.name for r in world.cache.scan("employees").where("id = 2").collect()] == ["Amy"]
