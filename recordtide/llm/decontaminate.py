@@ -87,7 +87,7 @@ _HITS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hit", pa.b
 
 def _scan(shared):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, index = W.WordHashes(), shared.value
+        known, index = W.word_hashes(), shared.value
 
         def rows():
             for part in parts:

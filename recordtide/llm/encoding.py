@@ -2,7 +2,7 @@
 
 A space between two characters that are not white space always begins a new piece for a byte-level pre-tokenizer (its
 pattern takes one such space at the head of a piece, and nowhere else), and so a text may be cut before it and its parts
-encoded alone. Parts recur, so each task encodes a part once and looks it up from then on. Special strings hold no space, so
+encoded alone. Parts recur, so each worker encodes a part once and looks it up from then on. Special strings hold no space, so
 no cut divides one.
 """
 
@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 
-#: Parts that a task remembers; those it meets later are encoded anew each time. Some 120 MB.
+#: Parts that a Python worker remembers; those it meets later are encoded anew each time. Some 120 MB.
 REMEMBERED = 600_000
 #: Characters beyond which a part is not worth remembering.
 LONG = 64
@@ -60,6 +61,18 @@ class Parts(dict):
         return found
 
 
+@cache
+def counted_parts(path: str) -> Parts:
+    """Token counts of parts, kept by this Python worker beyond a task."""
+    return Parts(path, len)
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which outlives a task."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 

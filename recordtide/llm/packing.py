@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordtide.llm.encoding import Encoder, grouped
+from recordtide.llm.encoding import encoder, grouped
 from recordtide.llm.tables import cut_lineage, keyed_texts
 from recordtide.llm.words import batches
 
@@ -48,12 +48,12 @@ _PIECES = pa.schema(
 
 def _encode(path: str, end_id: int, capacity: int, with_ids: bool):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        coder, end = encoder(path), np.array([end_id], "<u4").tobytes()
 
         def rows():
             for part in parts:
                 for group in grouped(zip(part.column(0).to_pylist(), part.column(1).to_pylist()), 1):
-                    for (doc_id, _), ids in zip(group, encoder.ids([text for _, text in group])):
+                    for (doc_id, _), ids in zip(group, coder.ids([text for _, text in group])):
                         ids += end
                         for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                             piece = ids[4 * start : 4 * (start + length)]

@@ -110,7 +110,7 @@ _FEATURES = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
 
 def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = W.WordHashes()
+    known = W.word_hashes()
     for part in parts:
         rows = ((doc_id, features(text, known)) for doc_id, text in zip(part.column(0).to_pylist(), W.texts(part.column(1))))
         yield from W.batches(rows, _FEATURES)
@@ -121,7 +121,7 @@ _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 def _score(model: Model):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.WordHashes()
+        known = W.word_hashes()
         for part in parts:
             ids, texts = part.column(0), list(W.texts(part.column(1)))
             if texts:

@@ -40,7 +40,7 @@ _ANCHORS = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("place", p
 
 def _anchor_rows(window: int, run: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.WordHashes()
+        known = W.word_hashes()
         for part in parts:
             values, ids, places, held = [], [], [], 0
             for doc_id, text in zip(part.column(0).to_pylist(), W.texts(part.column(1))):
@@ -78,7 +78,7 @@ def _split(window: int, run: int):
     """Rows with a candidate window keep their text and the starts; the others are finished."""
 
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.WordHashes()
+        known = W.word_hashes()
 
         def rows():
             for part in parts:
@@ -103,7 +103,7 @@ _WINDOWS = pa.schema([("value", pa.int64()), ("check", pa.int32()), ("doc_id", p
 
 def _window_rows(window: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, others = W.WordHashes(), W.WordHashes(seed=1)
+        known, others = W.word_hashes(), W.word_hashes(1)
         for part in parts:
             for doc_id, text, starts in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2)):
                 words, starts = W.spaced_words(text), np.frombuffer(starts.as_py(), "<i4")

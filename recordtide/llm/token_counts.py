@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recordtide.llm.encoding import Parts, cut_at_spaces, grouped
+from recordtide.llm.encoding import counted_parts, cut_at_spaces, grouped
 from recordtide.llm.tables import keyed_texts
 from recordtide.llm.words import batches
 
@@ -92,7 +92,7 @@ _COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens
 
 def _count(path: str, limit: int, chunk: int, overlap: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Parts(path, len)
+        known = counted_parts(path)
 
         def rows():
             for part in parts:

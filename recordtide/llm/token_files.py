@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordtide.llm.encoding import Encoder, grouped
+from recordtide.llm.encoding import encoder, grouped
 from recordtide.llm.tables import keyed_texts
 from recordtide.llm.words import batches
 
@@ -164,12 +164,12 @@ _SEGMENTS = pa.schema([("segment", pa.int32()), ("n_tokens", pa.int64()), ("firs
 
 def _write(path: str, end_id: int, segment_tokens: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        coder, end = encoder(path), np.array([end_id], "<u4").tobytes()
 
         def documents():
             for part in parts:
                 for group in grouped(zip(part.column(0).to_pylist(), part.column(1).to_pylist()), 1):
-                    for (doc_id, _), ids in zip(group, encoder.ids([text for _, text in group])):
+                    for (doc_id, _), ids in zip(group, coder.ids([text for _, text in group])):
                         yield doc_id, ids + end
 
         def rows():

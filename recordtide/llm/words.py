@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-#: Words whose hash a task remembers; words beyond are hashed anew each time.
+#: Words whose hash a worker remembers; words beyond are hashed anew each time.
 REMEMBERED = 400_000
 
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
@@ -19,7 +20,7 @@ _LOWER_ALNUM = bytes(
 
 
 class WordHashes(dict):
-    """Word (bytes) to 64-bit number, worked out once per word and task."""
+    """Word (bytes) to 64-bit number, worked out once per word."""
 
     def __init__(self, seed: int = 0):
         self.seed = seed
@@ -34,6 +35,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@cache
+def word_hashes(seed: int = 0) -> WordHashes:
+    """The hashes of this Python worker, which outlive a task."""
+    return WordHashes(seed)
+
+
 class _Powers:
     """Powers of the base and of its inverse, extended as longer texts come along."""
 
