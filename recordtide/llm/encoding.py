@@ -15,8 +15,8 @@ from functools import cache
 
 import numpy as np
 
-#: Parts that a Python worker remembers; those it meets later are encoded anew each time. Some 120 MB.
-REMEMBERED = 600_000
+#: Parts that a Python worker remembers; those it meets later are encoded anew each time. Some 60 MB.
+REMEMBERED = 300_000
 #: Characters beyond which a part is not worth remembering.
 LONG = 64
 

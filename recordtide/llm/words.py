@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 
 #: Words whose hash a worker remembers; words beyond are hashed anew each time.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
