@@ -73,6 +73,38 @@ def test_jaccard_join_finds_the_components_of_near_copies(spark, monkeypatch):
     assert rows_of(jaccard_join.classes(docs, percent=80)) == sorted(linked_components(rows, 3, 80), key=repr)
 
 
+def two_families(at, members):
+    """Copies of two templates that six words tell apart, and one copy of each that are linked to each other alone.
+
+    Sets are linked where at most four words differ. The two have two of the other template's words and a word of their own,
+    so they differ from each other in four and from the other family in five or more.
+    """
+    plain = [f"w{k}x{at}" for k in range(400)]
+    own = range(10, 70, 10)
+
+    def copy(other, *edits):
+        words = [f"other{k}x{at}" if k in other else word for k, word in enumerate(plain)]
+        for k in edits:
+            words[k] = f"edit{k}x{at}"
+        return " ".join(words)
+
+    texts = [copy(own[:2], 90), copy(own[:4], 95)] + [copy((), 100 + 5 * k) for k in range(members)]
+    texts += [copy(own, 250 + 5 * k) for k in range(members)] + [copy(own), copy(())]
+    return [(1000 * at + k, text) for k, text in enumerate(texts)]
+
+
+def test_jaccard_join_keeps_the_only_link_between_families(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF", 3)
+    monkeypatch.setattr(jaccard_join, "LATER_LEAF", 6)
+    rows, hashes = two_families(1, 14), W.word_hashes()
+    assert len({c for _, _, c in linked_components(rows, 3, 94)}) == 1 and len({c for _, _, c in linked_components(rows[2:], 3, 94)}) == 2
+    found = [(i, jaccard_join.shingle_set(text.encode(), 3, hashes)) for i, text in rows]
+    # All in one first region, whose pivot belongs to one family and parts the two.
+    nodes = spark.createDataFrame([(i, len(f), jaccard_join.parity(f, 94), [1]) for i, f in found], "node long, size long, parity binary, keys array<long>")
+    links = jaccard_join.links(nodes, spark.createDataFrame(rows, "doc_id long, text string"), 3, 94)
+    assert {r["component"] for r in jaccard_join.components(links).collect()} == {1000}
+
+
 def test_jaccard_join_on_odd_rows(odd, none):
     got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in jaccard_join.classes(odd).collect()}
     assert got[(1, True)] == got[(2, True)] == 1 and got[(3, True)] == 3 and got[(11, True)] == 3
