@@ -1,10 +1,12 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. What is boilerplate by its element (menus, footers, forms, scripts and the like) or by a
-word of its class, id or role (advert, cookie, comments, ...) is left out. Of each remaining element the composite density is
-worked out: characters per tag, scaled down where links hold much of the text or many of the tags. The element whose children
-have the greatest sum of densities is the main text. On the way from the body to it, the least density is the threshold: an
-element beside that way, as dense as that and with at least half the greatest sum, belongs to the text too.
+word of its class, id or role (advert, cookie, comments, ...) is left out.
+Of each remaining element the composite density is worked out: characters per tag, scaled down where links hold much of the text
+or many of the tags. The element whose children have the greatest sum of densities leads to the main text, which is the outermost
+article or main element around it. Without one, it is the outermost block around it on the way up to which no block beside the
+way holds mostly links. On the way from the body, the least density, with boilerplate counted, is the threshold: an element
+beside the way that is as dense as that or is a heading or paragraph, and does not hold mostly links, belongs to the text too.
 
 Character references are decoded, white space becomes one space, blocks are joined by one space; inline elements join without.
 Unclosed elements end where a browser would end them, a tag cut off at the end of a page is dropped, and raw text (scripts,
@@ -51,6 +53,9 @@ MARKS = frozenset(
     " breadcrumbs footer masthead toolbar comment comments commentlist respond replies disqus discussion share sharing social related recommended"
     " widget widgets pagination pager skip complementary contentinfo".split()
 )
+ARTICLES = frozenset(("article", "main"))
+#: Headings and paragraphs, whose links do not make them menus.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 _ENDS_P = BLOCKS - {"br", "option", "legend", "body", "html", "head"}
 _SELF_CLOSING = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
@@ -59,7 +64,7 @@ _SCOPES = frozenset("body article section div main td th ul ol dl table blockquo
 
 
 class Element:
-    __slots__ = ("tag", "parent", "content", "skipped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "content", "skipped", "chars", "tags", "link_chars", "link_tags", "density", "total", "least")
 
     def __init__(self, tag: str, parent: Element | None, skipped: bool):
         self.tag, self.parent, self.skipped = tag, parent, skipped
@@ -115,8 +120,8 @@ def parse(page: str) -> Element:
             node = _close(node, ("p",), _SCOPES)
         if tag in _SELF_CLOSING:
             node = _close(node, _SELF_CLOSING[tag], frozenset(("ul", "ol", "dl", "table", "select")))
-        skipped = tag in SKIPPED or _marked(attributes) or (tag == "header" and not _within(node, ("article", "main")))
-        child = Element(tag, node, skipped)
+        skipped = tag in SKIPPED or (tag == "header" and not _within(node, ("article", "main")))
+        child = Element(tag, node, skipped or _marked(attributes))
         node.content.append(child)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE).search(page, at)
@@ -133,17 +138,23 @@ def _within(node: Element | None, tags: tuple[str, ...]) -> bool:
     return False
 
 
-def _ordered(root: Element) -> list[Element]:
-    """Elements that are not left out, parents first."""
+def _ordered(root: Element, everything: bool = False) -> list[Element]:
+    """Elements that are not left out, or all of them, parents first."""
     out = [root]
     for node in out:
-        out.extend(child for child in node.content if isinstance(child, Element) and not child.skipped)
+        out.extend(child for child in node.content if isinstance(child, Element) and (everything or not child.skipped))
     return out
 
 
-def weigh(root: Element) -> list[Element]:
+def measure(root: Element) -> None:
+    """``least`` of each element becomes its density with boilerplate counted."""
+    for node in weigh(root, everything=True):
+        node.least = node.density
+
+
+def weigh(root: Element, everything: bool = False) -> list[Element]:
     """Works out counts and densities of all elements; returns them, parents first."""
-    nodes = _ordered(root)
+    nodes = _ordered(root, everything)
     for node in nodes:
         node.chars = sum(len(part.strip()) for part in node.content if isinstance(part, str))
         node.tags = node.link_tags = 0
@@ -179,8 +190,17 @@ def _block_of(node: Element) -> Element:
     return node
 
 
+def _mostly_links(node: Element) -> bool:
+    return node.tag in BLOCKS and node.tag not in PROSE and node.tag != "header" and 2 * node.link_chars > node.chars
+
+
+def _beside(node: Element, way: list[Element]) -> list[Element]:
+    return [child for child in node.content if isinstance(child, Element) and not child.skipped and child not in way]
+
+
 def main_elements(root: Element) -> list[Element]:
-    """The element of greatest density sum and those beside its way to the body that are as dense as the way."""
+    """The main text around the element of greatest density sum and the elements beside its way to the body that belong to it."""
+    measure(root)
     nodes = weigh(root)
     best = max(nodes, key=lambda node: node.total)
     if not best.total:
@@ -189,14 +209,19 @@ def main_elements(root: Element) -> list[Element]:
     while at.parent is not None:
         at = at.parent
         way.append(at)
-    threshold = min(node.density for node in way)
+    top = max((k for k, node in enumerate(way) if node.tag in ARTICLES), default=None)
+    if top is None:
+        top = 0
+        while top + 2 < len(way) and not any(map(_mostly_links, _beside(way[top + 1], way))):
+            top += 1
+    threshold = min(node.least for node in way)
     beside = {
         id(child)
-        for node in way[1:]
-        for child in node.content
-        if isinstance(child, Element) and not child.skipped and child not in way and child.density >= threshold and child.total * 2 >= best.total > 0
+        for node in way[top + 1 :]
+        for child in _beside(node, way)
+        if child.chars and not _mostly_links(child) and (child.density >= threshold or child.tag in PROSE)
     }
-    return [node for node in _page_order(root) if node is best or id(node) in beside]
+    return [node for node in _page_order(root) if node is way[top] or id(node) in beside]
 
 
 def _page_order(root: Element) -> Iterator[Element]:

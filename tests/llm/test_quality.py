@@ -113,6 +113,23 @@ def test_main_text(body, text):
     assert html_text.main_text(PAGE.format(body)) == text.strip()
 
 
+def sentences(k, size):
+    return (f"Part {k} has words, " * size)[: size - 1].strip() + "."
+
+
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+def test_the_whole_article_is_kept(holder):
+    paragraphs = "".join(f"<p>{sentences(k, 400)}</p>" for k in range(10))
+    parts = [
+        f"<h1>Title</h1>{''.join(f'<p>{sentences(k, 300)}</p>' for k in range(3))}<ul>{''.join(f'<li>{sentences(k, 40)}</li>' for k in range(50))}</ul>",
+        f"<h1>Title</h1><p>{sentences(50, 400)}</p><section>{paragraphs}</section><section><p>{sentences(60, 400)}</p><p>{sentences(61, 400)}</p></section>",
+        f"<h1><a href=/x>Title</a></h1><p>Lead.</p><table>{''.join(f'<tr><td>{sentences(k, 90)}<td>{k}' for k in range(30))}</table><pre>code</pre>",
+    ]
+    for part in parts:
+        expected = " ".join(re.sub(r"<[^>]*>", " ", part).split())
+        assert html_text.main_text(PAGE.format(f"<{holder}>{part}</{holder}>")) == expected
+
+
 def test_main_text_of_broken_pages():
     for page in ("<", "<a href=\"x", "<p", "</", "<script>x", "<p>a<!-- b", "<div>" * 3000 + "x", "</p></p>", "&", "<a b='" * 500, "<p><li></div>", "\0"):
         assert isinstance(html_text.main_text(page), str)
