@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. What is boilerplate by its element (menus, footers, forms, scripts and the like) or by a
-word of its class, id or role (advert, cookie, comments, ...) is left out.
+name of its class, id or role (advert, site-footer, comments, ...) is left out. Names of states (with-sidebar, comments-open)
+mark nothing, nor do any names on articles, main elements and an element that holds a main heading and most of the page's text.
 Of each remaining element the composite density is worked out: characters per tag, scaled down where links hold much of the text
 or many of the tags. The element whose children have the greatest sum of densities leads to the main text, which is the outermost
 article or main element around it. Without one, it is the outermost block around it on the way up to which no block beside the
@@ -53,6 +54,9 @@ MARKS = frozenset(
     " breadcrumbs footer masthead toolbar comment comments commentlist respond replies disqus discussion share sharing social related recommended"
     " widget widgets pagination pager skip complementary contentinfo".split()
 )
+#: Beginnings and ends of names that tell a state, and ends of names that tell the article.
+STATES_FIRST = frozenset("has with without no not is show hide".split())
+STATES_LAST = frozenset("open opened closed enabled disabled on off active inactive visible hidden allowed".split())
 ARTICLES = frozenset(("article", "main"))
 #: Headings and paragraphs, whose links do not make them menus.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
@@ -64,18 +68,27 @@ _SCOPES = frozenset("body article section div main td th ul ol dl table blockquo
 
 
 class Element:
-    __slots__ = ("tag", "parent", "content", "skipped", "chars", "tags", "link_chars", "link_tags", "density", "total", "least")
+    __slots__ = ("tag", "parent", "content", "skipped", "chars", "tags", "link_chars", "link_tags", "density", "total", "marked", "titled", "least")
 
-    def __init__(self, tag: str, parent: Element | None, skipped: bool):
-        self.tag, self.parent, self.skipped = tag, parent, skipped
+    def __init__(self, tag: str, parent: Element | None, skipped: bool, marked: bool = False):
+        self.tag, self.parent, self.skipped, self.marked = tag, parent, skipped or marked, marked and not skipped
         self.content: list[str | Element] = []
 
 
 def _marked(attributes: str) -> bool:
     if "=" not in attributes:
         return False
-    names = " ".join(_NAMES.findall(attributes)).lower()
-    return any(word in MARKS for word in re.split(r"[^a-z0-9]+", names))
+    names = " ".join(name.strip("\"'") for name in _NAMES.findall(attributes)).lower()
+    return any(_marks(name) for name in names.split())
+
+
+def _marks(name: str) -> bool:
+    words = [word for word in re.split(r"[^a-z0-9]+", name) if word]
+    if not words or words[-1] in ARTICLES:
+        return False
+    if len(words) > 1 and (words[0] in STATES_FIRST or words[-1] in STATES_LAST):
+        return False
+    return words[0] in MARKS or words[-1] in MARKS
 
 
 def _close(node: Element, tags: tuple[str, ...], stop: frozenset[str]) -> Element:
@@ -121,7 +134,7 @@ def parse(page: str) -> Element:
         if tag in _SELF_CLOSING:
             node = _close(node, _SELF_CLOSING[tag], frozenset(("ul", "ol", "dl", "table", "select")))
         skipped = tag in SKIPPED or (tag == "header" and not _within(node, ("article", "main")))
-        child = Element(tag, node, skipped or _marked(attributes))
+        child = Element(tag, node, skipped, tag not in ARTICLES and _marked(attributes))
         node.content.append(child)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.IGNORECASE).search(page, at)
@@ -146,10 +159,20 @@ def _ordered(root: Element, everything: bool = False) -> list[Element]:
     return out
 
 
-def measure(root: Element) -> None:
-    """``least`` of each element becomes its density with boilerplate counted."""
-    for node in weigh(root, everything=True):
-        node.least = node.density
+def spare(root: Element) -> None:
+    """Takes marks off elements that hold a main heading, article or main element and most of the page's text outside links.
+
+    ``least`` of each element becomes its density with boilerplate counted.
+    """
+    nodes = weigh(root, everything=True)
+    for node in nodes:
+        node.titled, node.least = node.tag == "h1" or node.tag in ARTICLES, node.density
+    for node in reversed(nodes[1:]):
+        node.parent.titled |= node.titled
+    plain = root.chars - root.link_chars
+    for node in nodes:
+        if node.marked and node.titled and 2 * (node.chars - node.link_chars) > plain:
+            node.skipped = False
 
 
 def weigh(root: Element, everything: bool = False) -> list[Element]:
@@ -200,7 +223,7 @@ def _beside(node: Element, way: list[Element]) -> list[Element]:
 
 def main_elements(root: Element) -> list[Element]:
     """The main text around the element of greatest density sum and the elements beside its way to the body that belong to it."""
-    measure(root)
+    spare(root)
     nodes = weigh(root)
     best = max(nodes, key=lambda node: node.total)
     if not best.total:

@@ -130,6 +130,18 @@ def test_the_whole_article_is_kept(holder):
         assert html_text.main_text(PAGE.format(f"<{holder}>{part}</{holder}>")) == expected
 
 
+@pytest.mark.parametrize(
+    "names",
+    ["class='content with-sidebar'", "class='layout no-sidebar'", "class='post comments-open'", "id='discussion-article'", "class='entry share-enabled'", "class=sidebar-layout id=widget"],
+)
+def test_names_of_states_remove_no_article(names):
+    text = "".join(f"<p>{LONG}</p>" for _ in range(4))
+    for page in (f"<div {names}><h1>Title</h1>{text}</div>", f"<article {names}><h1>Title</h1>{text}</article>"):
+        assert html_text.main_text(PAGE.format(page)) == "Title " + (LONG * 4).strip()
+    for name in ("site-footer", "main-nav", "cookie-banner", "ad_1", "comments"):
+        assert html_text.main_text(PAGE.format(f"<article><p>{LONG}</p><div class='x {name}'>no</div></article>")) == LONG.strip()
+
+
 def test_main_text_of_broken_pages():
     for page in ("<", "<a href=\"x", "<p", "</", "<script>x", "<p>a<!-- b", "<div>" * 3000 + "x", "</p></p>", "&", "<a b='" * 500, "<p><li></div>", "\0"):
         assert isinstance(html_text.main_text(page), str)
