@@ -5,7 +5,8 @@ fingerprint with its place; an inverted index leads from a fingerprint to templa
 so that any five words in common leave a fingerprint on both sides. Fingerprints of one template that lie on nearby diagonals
 (place in the document less place in the template) make a candidate. It is aligned word by word within a band about those
 diagonals, for the longest common subsequence, which allows for words that were changed, added or left out. A match is an
-alignment that covers ``LEAST_COVERAGE`` percent of the template; of matches that overlap, the one with most words stays.
+alignment that covers ``LEAST_COVERAGE`` percent of the template. What lies before and after it is aligned again, so that
+statements repeated close together are all found. Of matches that overlap, the one with most words stays.
 
 Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII. Null, empty and wordless texts have no
 match and give no row. Null ids pass through, repeated rows are scanned each for itself, other columns are ignored.
@@ -69,6 +70,14 @@ TEMPLATES = {
         " the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of"
         " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
     ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following"
+        " conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and"
+        " the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+        " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+        " derived from this software without specific prior written permission."
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the"
         " License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable"
@@ -113,8 +122,8 @@ class Index:
         at = np.unique(W.window_minima(runs, min(WINDOW, max(1, len(runs)))))
         return list(zip(runs[at].tolist(), at.tolist()))
 
-    def candidates(self, words: list[bytes]) -> Iterator[tuple[str, int, int]]:
-        """Template and the least and greatest diagonal of hits that lie together."""
+    def candidates(self, words: list[bytes]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+        """Template and hits that lie together, as diagonal and place in the document."""
         runs = W.rolling(self.hashes.of(words), RUN)
         if not len(runs) or not len(self.values):
             return
@@ -123,22 +132,21 @@ class Index:
         diagonals = defaultdict(list)
         for place in at[known].tolist():
             for name, own in self.places[int(runs[place])]:
-                diagonals[name].append(place - own)
+                diagonals[name].append((place - own, place))
         for name, found in diagonals.items():
             found.sort()
-            low = last = found[0]
-            for diagonal in found[1:]:
-                if diagonal - last > BAND:
-                    yield name, low, last
-                    low = diagonal
-                last = diagonal
-            yield name, low, last
+            start = 0
+            for k in range(1, len(found)):
+                if found[k][0] - found[k - 1][0] > BAND:
+                    yield name, found[start:k]
+                    start = k
+            yield name, found[start:]
 
 
 def align(template: list[bytes], words: list[bytes], low: int, high: int) -> tuple[int, int, int]:
     """Longest common subsequence within the band of diagonals ``low - BAND`` to ``high + BAND``.
 
-    Returns the number of common words and the first and last of them in ``words``, the last not included.
+    In a wide band one near its middle is taken, so that what is left on both sides is about half of it. Returns the number of common words and the first and last of them in ``words``, the last not included.
     """
     first, width = low - BAND, high - low + 2 * BAND + 1
     # Cell k of row i stands for word i + first + k of the document.
@@ -150,6 +158,8 @@ def align(template: list[bytes], words: list[bytes], low: int, high: int) -> tup
         rows.append(row)
         above = np.append(row, row[-1])
     i, k = len(template), int(np.argmax(rows[-1] == rows[-1][-1]))
+    if width > 16 * BAND:
+        k = max(k, width // 2)
     common, begin, end = int(rows[-1][-1]), -1, -1
     left = common
     while i and left:
@@ -167,15 +177,39 @@ def align(template: list[bytes], words: list[bytes], low: int, high: int) -> tup
     return common, max(begin, 0), max(end, 0)
 
 
+def statements(template: list[bytes], words: list[bytes], hits: list[tuple[int, int]], least: int) -> Iterator[tuple[int, int, int]]:
+    """First word, end and common words of all alignments that reach the coverage, none of which overlap."""
+    stretches = [(0, len(words), hits)]
+    while stretches:
+        start, stop, inside = stretches.pop()
+        inside = [hit for hit in inside if start <= hit[1] < stop]
+        if not inside:
+            continue
+        low, high = inside[0][0], inside[-1][0]
+        first, last = max(start, low - BAND), min(stop, len(template) + high + BAND)
+        common, begin, end = align(template, words[first:last], low - first, high - first)
+        if common * 100 < least * len(template):
+            continue
+        begin, end = begin + first, end + first
+        # Words of two statements may make one alignment: it is parted where both sides reach the coverage.
+        room = -(-least * len(template) // 100)
+        cut = next((c for c in range(begin + room, end - room + 1) if all(
+            align(template, words[x:y], low - x, high - x)[0] * 100 >= least * len(template) for x, y in ((begin, c), (c, end))
+        )), None) if room else None
+        if cut is None:
+            yield begin, end, common
+            stretches += [(start, begin, inside), (end, stop, inside)]
+        else:
+            stretches += [(start, cut, inside), (cut, stop, inside)]
+
+
 def matches(index: Index, text: bytes | None, least: int = LEAST_COVERAGE) -> list[tuple[str, int, int, int, int]]:
     """Name, first word, end, common words and words of the template for each match, in the document's order."""
     words = W.alnum_words(text)
     found = []
-    for name, low, high in index.candidates(words):
+    for name, hits in index.candidates(words):
         template = index.templates[name]
-        common, begin, end = align(template, words, low, high)
-        if common * 100 >= least * len(template):
-            found.append((name, begin, end, common, len(template)))
+        found.extend((name, begin, end, common, len(template)) for begin, end, common in statements(template, words, hits, least))
     found.sort(key=lambda m: (-m[3], m[4] - m[3], m[1], m[0]))
     kept: list[tuple[str, int, int, int, int]] = []
     for match in found:

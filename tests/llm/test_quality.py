@@ -197,6 +197,21 @@ def test_licenses_are_found_where_they_are():
     assert license_scan.matches(index, prose(3, 5000).encode()) == []
 
 
+def test_statements_close_together_are_all_found():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for gap in range(0, 9):
+        for times in (2, 7, 60):
+            text = "\n".join(f"{' '.join(f'lib{n}x{k}' for k in range(gap))} Released under the MIT License." for n in range(times))
+            found = license_scan.matches(index, text.encode())
+            assert [m[:4] for m in found] == [("MIT-line", (gap + 5) * n + gap, (gap + 5) * (n + 1), 5) for n in range(times)]
+    line = "is licensed under the GNU General Public License, version"
+    two = license_scan.matches(index, f"This work {line} x. This x {line} 3. x work {line} 3.".encode())
+    assert [m[1:4] for m in two] == [(0, 11, 11), (12, 24, 11), (25, 36, 11)]
+    three = license_scan.TEMPLATES["BSD-3-Clause"]
+    assert [m[0] for m in license_scan.matches(index, f"{prose(1, 40)} {three} {prose(2, 40)}".encode())] == ["BSD-3-Clause"]
+    assert [m[0] for m in license_scan.matches(index, license_scan.TEMPLATES["BSD-2-Clause"].encode())] == ["BSD-2-Clause"]
+
+
 def test_license_scan(spark, odd, none, documents):
     lines = ("Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "General Public License, version 3.", "the Apache License, Version 2.0.")
     expected = {(r["doc_id"]) for r in documents.collect() if any(line in r["text"] for line in lines)}
