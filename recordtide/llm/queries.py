@@ -7,9 +7,11 @@ from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordtide.llm import (
-    decontaminate, html_text, jaccard_join, license_scan, packing, quality_classifier, quality_rules, substring_dedup, token_counts, token_files,
+    collocations, decontaminate, html_text, jaccard_join, license_scan, packing, quality_classifier, quality_rules, sharding, substring_dedup,
+    token_counts, token_files, whitening,
 )
 from recordtide.llm.tables import table, tokenizer_file
 from recordtide.session import work_folder
@@ -86,3 +88,26 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = work_folder(spark, "tokens")
     token_files.write_tokens(table(spark, folder, "documents"), target, tokenizer_file("byte_bpe_50k.json"))
     return token_files.read_documents(spark, target)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model) if model else 0.0
+    rows = whitening.whiten(vectors, model)
+    return rows.withColumns({"deviation": F.expr("try_cast(deviation AS bigint)"), "identity_error": F.lit(error)})
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"))
+
+
+SQL["op12_phrase_collocations"] = collocations.SQL
+SQL["op13_sharding"] = sharding.SQL
