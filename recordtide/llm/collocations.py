@@ -43,7 +43,7 @@ COVER = 80
 #: Bits of a field of hashes: 16 MB at most.
 BITS = 27
 #: Words of a block, beyond which it ends, and words a task knows by number at a time, per language.
-BLOCK, KNOWN = 1_500_000, 400_000
+BLOCK, KNOWN = 600_000, 150_000
 #: Bytes of text split at a time.
 SPLIT = 4_000_000
 
