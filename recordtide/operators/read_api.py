@@ -11,17 +11,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordtide.operators.project import select_columns
+from recordtide.operators.sketch import id_sketch, may_be_among, worthwhile
 
+#: So many ids are no longer broadcast, and a sketch of them is worth its making.
+SKETCH_FROM = 500_000
 
-def id_in_list(df: DataFrame, ids: DataFrame, key: str = "id", unique: bool = False) -> DataFrame:
+
+def id_in_list(df: DataFrame, ids: DataFrame, key: str = "id", unique: bool = False, sketch_from: int | None = None) -> DataFrame:
     """Rows whose key is among ``ids``, a DataFrame with the same key column.
 
     The id set may be large, so it is a semi join and not an IN list, broadcast only
     when its size is small. Repeated ids go away before the shuffle. Say ``unique``
     when they cannot repeat: then both sides are plain shuffles, and the adaptive
     skew join can split a key that fills a large part of ``df``.
+
+    With ``sketch_from``, that many integer ids or more thin out ``df`` by a bit sketch
+    before it is shuffled, as long as a sketch of bounded size can tell them apart. It
+    pays where few rows of a large ``df`` match ids that lie scattered. ``ids`` should
+    be a written table then, as it is read for its count and its bits too.
     """
     ids = ids.select(key)
+    if sketch_from is not None:
+        n_ids = ids.count()
+        if n_ids >= sketch_from and worthwhile(n_ids):
+            df = may_be_among(df, id_sketch(ids, key, n_ids), key)
     return df.join(ids if unique else ids.distinct(), key, "left_semi")
 
 

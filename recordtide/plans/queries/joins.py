@@ -8,21 +8,22 @@ from recordtide.operators.buffer import collapse_batch
 from recordtide.operators.notify import tenant_scope
 from recordtide.plans.registry import query
 from recordtide.plans.sql import CACHE, NOTIFICATIONS, with_ctes
-from recordtide.plans.standins import cache_tables, micros
+from recordtide.plans.standins import cache_tables, micros, table
 from recordtide.schemas import FK_EDGES, edges_of
 from recordtide.session import work_folder
 from recordtide.sources.cache import Cache, cache_scan
 
 
-
-@query(
-    "cache_scan",
-    with_ctes(CACHE, *NOTIFICATIONS)
-    + """SELECT s.id, s.address_address,
+_CHANGED_SITES = """SELECT s.id, s.address_address,
                 CASE WHEN a.id IS NULL THEN s.address_country ELSE a.operation END AS address_country,
                 CASE WHEN a.id IS NULL THEN s.date_modified ELSE epoch_us(a.date_triggered::TIMESTAMPTZ) END AS date_modified
          FROM sites s LEFT JOIN (SELECT * FROM actions WHERE resource = 'site') a USING (id)
-         WHERE a.operation IS DISTINCT FROM 'deleted'""",
+         WHERE a.operation IS DISTINCT FROM 'deleted'"""
+
+
+@query(
+    "cache_scan",
+    with_ctes(CACHE, *NOTIFICATIONS) + _CHANGED_SITES,
 )
 def scan(spark, sf_dir):
     """Seed, compact, log a second batch of changes, then read through the view."""
@@ -44,6 +45,60 @@ def scan(spark, sf_dir):
     )
 
 
+@query(
+    "cache_snapshot",
+    with_ctes(CACHE, *NOTIFICATIONS)
+    + f"""SELECT 'sites' AS target, id, address_country AS label FROM ({_CHANGED_SITES})
+         UNION ALL SELECT 'leads', id, name FROM leads
+         UNION ALL SELECT 'jobs', id, name FROM jobs""",
+)
+def snapshot(spark, sf_dir):
+    """A committed batch over a compacted base shows in all tables, one that stopped before its commit in none."""
+    cache = Cache(spark, work_folder(spark, "snapshot"))
+    tables = {name: cache_tables(spark, sf_dir)[name] for name in ("sites", "leads", "jobs")}
+    with cache.transaction(0):
+        cache.write_changes("sites", tables["sites"].withColumn("deleted", F.lit(False)), 0)
+        cache.write_changes("leads", tables["leads"].withColumn("deleted", F.lit(False)), 0)
+    cache.compact("sites")
+    actions = collapse_batch(tenant_scope(accepted(spark, sf_dir))).where("resource = 'site'")
+    changed = tables["sites"].join(actions, "id").withColumn("deleted", F.col("operation") == "deleted")
+    with cache.transaction(1):
+        cache.write_changes("sites", changed.withColumn("address_country", F.col("operation")), 1)
+        cache.write_changes("jobs", tables["jobs"].withColumn("deleted", F.lit(False)), 1)
+    try:
+        with cache.transaction(2):
+            cache.write_changes("leads", tables["leads"].withColumn("deleted", F.lit(True)), 2)
+            raise InterruptedError
+    except InterruptedError:
+        pass
+    labels = {"sites": "address_country", "leads": "name", "jobs": "name"}
+    now = cache.snapshot(labels)
+    parts = [now.scan(name).select(F.lit(name).alias("target"), "id", F.col(label).alias("label")) for name, label in labels.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+@query(
+    "cache_compaction",
+    with_ctes(CACHE)
+    + """SELECT id, schedule_type, CASE WHEN id IN (SELECT event_id FROM events) THEN 'changed' ELSE notes END AS notes
+         FROM schedules WHERE id NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""",
+)
+def compaction(spark, sf_dir):
+    """All schedules in a base of small files, then two rounds of changes folded into the files they touch."""
+    cache = Cache(spark, work_folder(spark, "compaction"), rows_per_file=5000)
+    schedules = cache_tables(spark, sf_dir)["schedules"]
+    events = table(spark, sf_dir, "events")
+    cache.write_changes("schedules", schedules.withColumn("deleted", F.lit(False)), 0)
+    cache.compact("schedules")
+    named = schedules.join(events.select(F.col("event_id").alias("id")), "id", "left_semi")
+    cache.write_changes("schedules", named.withColumns({"notes": F.lit("changed"), "deleted": F.lit(False)}), 1)
+    cache.compact("schedules")
+    gone = schedules.join(events.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi")
+    cache.write_changes("schedules", gone.withColumn("deleted", F.lit(True)), 2)
+    cache.compact("schedules")
+    return cache.scan("schedules").select("id", "schedule_type", "notes")
+
+
 @query(
     "fk_join",
     with_ctes(CACHE)
@@ -114,7 +169,7 @@ def orphans(spark, sf_dir):
 
 
 _CLOSURE = """
-seed AS (SELECT * FROM schedules WHERE date_modified >= epoch_us(TIMESTAMP '1999-01-01')),
+seed AS (SELECT * FROM schedules),
 seed_jobs AS (SELECT DISTINCT job_id AS id FROM seed WHERE job_id IS NOT NULL),
 job_refs AS (SELECT * FROM jobs WHERE id IN (SELECT id FROM seed_jobs)),
 needed AS (
@@ -144,5 +199,4 @@ stored AS (
 )
 def closure(spark, sf_dir):
     cache = cache_tables(spark, sf_dir, stored=True)
-    recent = cache["schedules"].where(F.col("date_modified") >= F.lit("1999-01-01T00:00:00Z").cast("timestamp"))
-    return fk_closure(cache, {"schedules": recent})
+    return fk_closure(cache, {"schedules": cache["schedules"]})

@@ -102,12 +102,14 @@ def load(spark, sf_dir):
     """All eleven tables written level by level, then read back."""
     cache = Cache(spark, work_folder(spark, "load"))
     tables = {name: rows.withColumn("deleted", F.lit(False)) for name, rows in cache_tables(spark, sf_dir, stored=True).items()}
-    order = ordered_load(tables, lambda name, rows: cache.write_changes(name, rows, 0))
+    with cache.transaction(0):
+        order = ordered_load(tables, lambda name, rows: cache.write_changes(name, rows, 0))
+    now = cache.snapshot()
     levels = {name: number for number, names in enumerate(LOAD_LEVELS) for name in names}
     parts = []
     for name in order:
         key = "id" if name != "schedule_blocks" else "schedule_id"
-        counted = cache.scan(name).agg(F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"))
+        counted = now.scan(name).agg(F.count("*").alias("n_rows"), F.sum(key).alias("key_sum"))
         parts.append(counted.select(F.lit(levels[name]).alias("level"), F.lit(name).alias("table_name"), "n_rows", "key_sum"))
     result = parts[0]
     for part in parts[1:]:

@@ -11,6 +11,7 @@ from recordtide.operators.nested import (
     nested_entity,
     rows_from_record,
 )
+from recordtide.operators.shred import KEY, PARENT, shred
 from recordtide.plans.registry import query
 from recordtide.plans.sql import CACHE, JOB_ROWS, SCHEDULE_ROWS, SITE_ROWS, with_ctes
 from recordtide.plans.standins import cache_tables, micros, records, schedule_records, table
@@ -177,3 +178,46 @@ def merge_mentions(spark, sf_dir):
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'")
     mentioned = table(spark, sf_dir, "orders").select(status.alias("Status"), stamp.alias("DateModified"))
     return nested_entity(mentioned, "Status", {"name": "Name", "color": "Color"})
+
+
+_NESTED = """
+nested_orders AS (
+  SELECT *, o_custkey || '/' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) AS order_path FROM orders),
+nested_lines AS (
+  SELECT l.*, order_path, order_path || '/' || (row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) - 1) AS line_path
+  FROM lineitem l JOIN nested_orders ON l_orderkey = o_orderkey)
+"""
+
+
+@query(
+    "shred_records",
+    with_ctes(_NESTED)
+    + """SELECT 'customers' AS table_name, c_custkey::VARCHAR AS row_key, NULL::VARCHAR AS parent_key, c_name AS label FROM customer
+         UNION ALL SELECT 'customers_orders', order_path, o_custkey::VARCHAR, o_orderkey || ' ' || o_orderpriority FROM nested_orders
+         UNION ALL SELECT 'customers_orders_lines', line_path, order_path, l_partkey || ' ' || l_suppkey FROM nested_lines
+         UNION ALL SELECT 'customers_orders_lines_flags', line_path || '/' || i, line_path, [l_returnflag, l_linestatus][i + 1]
+           FROM nested_lines, unnest([0, 1]) AS g(i)""",
+)
+def shredded(spark, sf_dir):
+    """Customers with orders with lines with flags: arrays four tables deep."""
+    line = F.struct(*[F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")])
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    lines = lines.withColumn("lines", F.expr("transform(lines, x -> struct(x.l_partkey AS part, x.l_suppkey AS supplier, array(x.l_returnflag, x.l_linestatus) AS flags))"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    order = F.struct(F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("priority"), "lines")
+    orders = orders.groupBy("o_custkey").agg(F.sort_array(F.collect_list(order)).alias("orders"))
+    customers = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    shape, tables = shred(customers.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("name"), "orders"), "customers")
+    labels = {
+        "customers": F.col("name"), "customers_orders": F.concat_ws(" ", "number", "priority"),
+        "customers_orders_lines": F.concat_ws(" ", "part", "supplier"), "customers_orders_lines_flags": F.col("value"),
+    }
+    parts = [
+        tables[own.name].select(
+            F.lit(own.name).alias("table_name"), F.col(KEY).alias("row_key"),
+            (F.col(PARENT) if own is not shape else F.lit(None).cast("string")).alias("parent_key"), labels[own.name].alias("label"),
+        )
+        for own in shape.walk()
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from recordtide.operators import read_api
+from recordtide.operators.page_index import page_index
 from recordtide.plans.registry import query
 from recordtide.plans.standins import table
+from recordtide.session import cut_lineage
 
 _COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 _SELECT = f"SELECT {', '.join(_COLUMNS)} FROM orders"
@@ -21,6 +23,28 @@ def id_in_list(spark, sf_dir):
     return read_api.id_in_list(orders(spark, sf_dir), ids, "o_orderkey")
 
 
+@query(
+    "id_sketch",
+    """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+       WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""",
+)
+def id_sketch(spark, sf_dir):
+    """The lines of few, scattered orders, thinned out by a bit sketch of the ids before they meet them."""
+    ids = orders(spark, sf_dir).where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
+    ids = cut_lineage(ids.select(F.col("o_orderkey").alias("l_orderkey")))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return read_api.id_in_list(lines, ids, "l_orderkey", unique=True, sketch_from=1)
+
+
+@query(
+    "page_index",
+    f"{_SELECT} ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey LIMIT 700 OFFSET 9100",
+)
+def deep_page(spark, sf_dir):
+    """Page 14 of 700 rows each, from rows sorted once."""
+    return page_index(orders(spark, sf_dir), "-o_orderpriority,o_totalprice", "o_orderkey", range_rows=2000).page(14, 700)
+
+
 @query(
     "op_filter",
     """SELECT o_orderkey,

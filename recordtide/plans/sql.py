@@ -178,8 +178,9 @@ sites AS (
     c_mktsegment AS address_country, lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS address_postal_code,
     1704067200000000 + (c_custkey % 28) * 86400000000 AS date_modified FROM customer),
 activities AS (SELECT p_partkey AS id, p_name AS name FROM part),
-quotes AS (SELECT o_orderkey AS id, 'Quote ' || o_orderkey AS name FROM orders WHERE o_orderstatus <> 'F'),
-leads AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal >= 0),
+quotes AS (
+  SELECT o_orderkey + CASE WHEN o_orderstatus = 'F' THEN 1000000000000 ELSE 0 END AS id, 'Quote ' || o_orderkey AS name FROM orders),
+leads AS (SELECT c_custkey + CASE WHEN c_acctbal < 0 THEN 1000000000000 ELSE 0 END AS id, c_name AS name FROM customer),
 cost_centers AS (SELECT p_partkey AS id, p_brand AS name FROM part),
 job_statuses AS (
   SELECT DISTINCT CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS id,

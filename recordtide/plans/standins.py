@@ -16,6 +16,8 @@ from recordtide.session import cut_lineage
 
 # Shared key of the sample notifications; not a real secret.
 SAMPLE_SECRET = "sample-notification-key"
+# Added to a key so that nothing refers to it.
+MOVED = 1_000_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -255,10 +257,14 @@ def cache_tables(spark: SparkSession, sf_dir: str, stored: bool = False) -> dict
             F.expr("timestamp_micros(1704067200000000 + (c_custkey % 28) * 86400000000)").alias("date_modified"),
         ),
         "activities": part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")),
-        "quotes": orders.where("o_orderstatus <> 'F'").select(
-            F.col("o_orderkey").alias("id"), F.expr("concat('Quote ', o_orderkey)").alias("name")
+        # Keys moved out of reach leave gaps: finished orders among the quotes, customers in debt among the leads.
+        "quotes": orders.select(
+            F.expr(f"o_orderkey + CASE WHEN o_orderstatus = 'F' THEN {MOVED} ELSE 0 END").alias("id"),
+            F.expr("concat('Quote ', o_orderkey)").alias("name"),
+        ),
+        "leads": customer.select(
+            F.expr(f"c_custkey + CASE WHEN c_acctbal < 0 THEN {MOVED} ELSE 0 END").alias("id"), F.col("c_name").alias("name")
         ),
-        "leads": customer.where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
         "cost_centers": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("name")),
         "job_statuses": orders.select(
             F.expr("cast(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS bigint)").alias("id"),

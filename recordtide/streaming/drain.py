@@ -17,7 +17,7 @@ from recordtide.operators.buffer import collapse_batch
 from recordtide.operators.mutate import ordered_load, source_key_conflict
 from recordtide.operators.nested import accepted_rows, derived_rows, rejected_rows, rows_from_record
 from recordtide.operators.notify import classify_rejects, split_accept_reject, tenant_scope
-from recordtide.operators.read_api import id_in_list, within_range
+from recordtide.operators.read_api import SKETCH_FROM, id_in_list, within_range
 from recordtide.operators.sets import fold_partial_views
 from recordtide.schemas import (
     CACHE_TABLES,
@@ -65,7 +65,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def current_records(records: DataFrame, ids: DataFrame) -> DataFrame:
     """The landed records of the given distinct ids, of each id the version modified last, or else landed last."""
     keyed = records.withColumn("_id", parse_id(F.col("ID")))
-    keyed = id_in_list(keyed, ids.select(F.col("id").alias("_id")), "_id", unique=True)
+    keyed = id_in_list(keyed, ids.select(F.col("id").alias("_id")), "_id", unique=True, sketch_from=SKETCH_FROM)
     if "DateModified" in records.columns:
         keyed = keyed.withColumn("_modified", parse_rfc3339_utc(F.col("DateModified")))
     recency = [name for name in ("_modified", "Landed") if name in keyed.columns]
@@ -151,6 +151,8 @@ class CacheSync:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         """Validate, collapse, read, flatten and load one batch. Safe to repeat."""
+        if self.cache.committed(batch_id):
+            return
         classified = classify_rejects(batch, self.secret).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             accepted, rejected = split_accept_reject(classified)
@@ -164,8 +166,11 @@ class CacheSync:
         """Load the rows behind collapsed ``(resource, id, operation)`` actions.
 
         An id whose record has not landed yet stays pending and is tried again by each later batch, until its record is
-        there or it is deleted.
+        there or it is deleted. All tables become visible together, when the batch is committed; one that is committed
+        already is left as it is.
         """
+        if self.cache.committed(batch_id):
+            return
         wanted, gone = {}, {}
         late = self.cache.pending(before=batch_id)
         for resource in NOTIFIED_RESOURCES:
@@ -175,12 +180,13 @@ class CacheSync:
             gone[RESOURCE_TABLES[resource]] = own.where(F.col("operation") == "deleted").select("id")
         rows, bad, missing = load_rows(self.records, wanted, gone)
         reject_sink(bad, f"{self.rejects}/records", batch_id)
-        self.cache.write_pending(missing, batch_id)
         dropped = {**gone, "schedule_blocks": self._stale_blocks(rows, gone["schedules"], batch_id)}
         changes = {
             table: _changes(table, rows.get(table), dropped.get(table)) for table in rows.keys() | dropped.keys()
         }
-        ordered_load(changes, lambda table, frame: self.cache.write_changes(table, frame, batch_id))
+        with self.cache.transaction(batch_id):
+            self.cache.write_pending(missing, batch_id)
+            ordered_load(changes, lambda table, frame: self.cache.write_changes(table, frame, batch_id))
 
     def _stale_blocks(self, rows: Mapping[str, DataFrame], gone: DataFrame, batch_id: int) -> DataFrame:
         """Stored blocks of the touched schedules that the new records no longer have."""
