@@ -43,9 +43,11 @@ COVER = 80
 #: Bits of a field of hashes: 16 MB at most.
 BITS = 27
 #: Words of a block, beyond which it ends, and words a task knows by number at a time, per language.
-BLOCK, KNOWN = 600_000, 150_000
+BLOCK, KNOWN = 250_000, 100_000
 #: Bytes of text split at a time.
-SPLIT = 4_000_000
+SPLIT = 1_000_000
+#: Hashes of pairs held at a time.
+HELD = 2_000_000
 
 #: Capitals become small, what ends a piece a full stop, a tab a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c for c in range(256))
@@ -165,6 +167,9 @@ def _whole_blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Lexico
                     yield whole(other)
     for lang in [*(raw.keys() | held.keys())]:
         yield whole(lang)
+    # The worker goes on to other tasks: what it needs no more should not stay with it.
+    lexicons.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def _block(lang: str, words: list[bytes], hashes: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -221,7 +226,7 @@ def _count_pair_hashes(words: Broadcast):
         for part in parts:
             for _, _, hashes, ids in _opened(part):
                 held.append(_pair_hashes(ids, hashes, frequent))
-                if sum(map(len, held)) > 4 * BLOCK:
+                if sum(map(len, held)) > HELD:
                     yield told()
         if held:
             yield told()
