@@ -12,6 +12,8 @@ from recordtide.plans.standins import cache_tables, micros, table
 from recordtide.schemas import FK_EDGES, edges_of
 from recordtide.session import work_folder
 from recordtide.sources.cache import Cache, cache_scan
+from recordtide.sources.references import ReferenceIndex
+from recordtide.sources.references import batch_orphans as orphans_of_batch
 
 
 _CHANGED_SITES = """SELECT s.id, s.address_address,
@@ -200,3 +202,49 @@ stored AS (
 def closure(spark, sf_dir):
     cache = cache_tables(spark, sf_dir, stored=True)
     return fk_closure(cache, {"schedules": cache["schedules"]})
+
+
+_BATCH_REFS = """
+         SELECT 'jobs' AS child, j.id, 'site_id' AS column_name, 'sites' AS target, j.site_id AS fk, n.site_id AS new_fk
+           FROM jobs j JOIN new_jobs n USING (id)
+         UNION ALL SELECT 'schedules', id, 'quote_id', 'quotes', quote_id, quote_id FROM schedules
+         UNION ALL SELECT 'schedules', id, 'staff_id', 'employees', staff_id, staff_id FROM schedules"""
+
+
+@query(
+    "batch_orphans",
+    with_ctes(CACHE)
+    + f""", new_jobs AS (
+           SELECT id, CASE WHEN status_id = 3 THEN site_id + 1000000000000 ELSE site_id END AS site_id FROM jobs),
+         refs AS ({_BATCH_REFS}),
+         old_ids AS (
+           SELECT 'sites' AS target, id FROM sites UNION ALL SELECT 'quotes', id FROM quotes
+           UNION ALL SELECT 'employees', id FROM employees),
+         new_ids AS (
+           SELECT 'sites' AS target, id FROM sites WHERE address_country <> 'BUILDING'
+           UNION ALL SELECT 'quotes', id FROM quotes WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+           UNION ALL SELECT 'employees', id FROM employees)
+         SELECT child, id, column_name, target, new_fk AS fk FROM refs r
+         WHERE new_fk IS NOT NULL
+           AND NOT EXISTS (SELECT 1 FROM new_ids n WHERE n.target = r.target AND n.id = r.new_fk)
+           AND (fk IS DISTINCT FROM new_fk OR EXISTS (SELECT 1 FROM old_ids o WHERE o.target = r.target AND o.id = r.fk))""",
+)
+def batch_orphans(spark, sf_dir):
+    """A batch deletes sites and quotes and moves jobs to sites that do not exist; references broken before are not reported."""
+    cache = Cache(spark, work_folder(spark, "orphans"))
+    tables = cache_tables(spark, sf_dir, stored=True)
+    with cache.transaction(0):
+        for name in ("sites", "employees", "quotes", "leads", "activities", "cost_centers", "job_statuses", "jobs", "schedules"):
+            cache.write_changes(name, tables[name].withColumn("deleted", F.lit(False)), 0)
+        ReferenceIndex(cache).log_batch(0)
+    for name in ("sites", "quotes", "jobs", "schedules"):
+        cache.compact(name)
+    ReferenceIndex(cache).compact()
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("id"))
+    moved = tables["jobs"].where("status_id = 3").withColumn("site_id", F.col("site_id") + 1_000_000_000_000)
+    with cache.transaction(1):
+        cache.write_changes("sites", tables["sites"].where("address_country = 'BUILDING'").withColumn("deleted", F.lit(True)), 1)
+        cache.write_changes("quotes", tables["quotes"].join(urgent, "id", "left_semi").withColumn("deleted", F.lit(True)), 1)
+        cache.write_changes("jobs", moved.withColumn("deleted", F.lit(False)), 1)
+        ReferenceIndex(cache).log_batch(1)
+    return orphans_of_batch(cache, 1).withColumnRenamed("column", "column_name")

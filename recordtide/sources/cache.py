@@ -17,12 +17,23 @@ from recordtide.operators.mutate import apply_changes
 from recordtide.schemas import CACHE_TABLES, payload_columns
 
 # The base is sorted by this column, so that readers of a key range skip row groups.
-_CLUSTERED_BY = {"schedule_blocks": "schedule_id"}
+_CLUSTERED_BY = {"schedule_blocks": "schedule_id", "references": "spot"}
 
 #: Rows of a base file at most.
 ROWS_PER_FILE = 1_000_000
+_LEAST = -(2**63)
 
 _PENDING = "pending"
+
+#: The index of references (``sources/references.py``), kept and committed like a table.
+REFERENCES = "references"
+_REFERENCES_SCHEMA = T.StructType(
+    [
+        T.StructField("spot", T.LongType()), T.StructField("target", T.StringType()), T.StructField("fk", T.LongType()),
+        T.StructField("child", T.StringType()), T.StructField("id", T.LongType()), T.StructField("column", T.StringType()),
+        T.StructField("cluster", T.LongType()),
+    ]
+)
 _PENDING_SCHEMA = T.StructType(
     [T.StructField("table", T.StringType()), T.StructField("id", T.LongType()), T.StructField("batch_id", T.LongType())]
 )
@@ -43,13 +54,22 @@ _MANIFEST = T.StructType(
 )
 
 
+def clustering_key(table: str) -> str:
+    """The column by whose ranges the base of a table is laid out."""
+    return _CLUSTERED_BY.get(table, "id")
+
+
 def _schema(table: str) -> T.StructType:
+    if table == REFERENCES:
+        return _REFERENCES_SCHEMA
     return T.StructType([T.StructField(f.name, f.dataType) for f in CACHE_TABLES[table]])
 
 
 def _log_schema(table: str) -> T.StructType:
     if table == _PENDING:
         return _PENDING_SCHEMA
+    if table == REFERENCES:
+        return T.StructType([*_REFERENCES_SCHEMA, T.StructField("batch_id", T.LongType())])
     return T.StructType(
         [*_schema(table), T.StructField("deleted", T.BooleanType()), T.StructField("batch_id", T.LongType())]
     )
@@ -90,6 +110,24 @@ class Snapshot:
     def base(self, table: str) -> DataFrame:
         return self.cache.read_files([row["path"] for row in self.bases[table]], _schema(table))
 
+    def near(self, table: str, keys: DataFrame) -> DataFrame:
+        """The base rows of the files whose range may hold one of ``keys``, a written frame of values of the clustering key."""
+        groups = _groups(self.bases[table])
+        place = range_of(F.col(keys.columns[0]), [group[0]["low"] for group in groups])
+        held = sorted(row["n"] for row in keys.select(place.alias("n")).distinct().collect()) if groups else []  # at most one per file
+        return self.cache.read_files([file["path"] for n in held for file in groups[n]], _schema(table))
+
+    def rows_of(self, table: str, keys: DataFrame) -> DataFrame:
+        """Current rows of some ids, read from the base files near them and the log behind the base.
+
+        ``keys`` is a written frame with ``id`` and, where the table is laid out by another column, that column as ``cluster``.
+        A row is sure to be found if it has that value of the column or was changed since the last compaction.
+        """
+        ids = keys.select("id").distinct()
+        stored = self.near(table, keys.select("cluster" if clustering_key(table) != "id" else "id")).join(ids, "id", "left_semi")
+        changes = self.log(table).where(F.col("batch_id") > self.upto[table]).join(ids, "id", "left_semi")
+        return apply_changes(stored, changes, "id", F.col("batch_id"), payload_columns(table))
+
     def scan(self, table: str) -> DataFrame:
         changes = self.log(table).where(F.col("batch_id") > self.upto[table])
         return apply_changes(self.base(table), changes, "id", F.col("batch_id"), payload_columns(table))
@@ -144,7 +182,7 @@ class Cache:
         rows = [(table, attempt, time.time_ns() // 1000, batch_id) for table, attempt in [*written, (None, "")]]
         self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").partitionBy("batch_id").parquet(f"{self.root}/commits")
 
-    def _stage(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def stage(self, table: str, rows: DataFrame, batch_id: int) -> None:
         attempt = uuid.uuid4().hex
         rows.write.parquet(f"{self.root}/log/{table}/batch_id={batch_id}/{attempt}")
         if batch_id in self._staged:
@@ -158,18 +196,35 @@ class Cache:
         Outside a transaction they are committed at once. Writing a batch's changes again replaces them.
         """
         fields = [f for f in _log_schema(table) if f.name != "batch_id"]
-        self._stage(table, changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]), batch_id)
+        self.stage(table, changes.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]), batch_id)
 
     def write_pending(self, ids: DataFrame, batch_id: int) -> None:
         """Note the ``(table, id)`` of notified records that a batch did not find."""
-        self._stage(_PENDING, ids.select("table", "id"), batch_id)
+        self.stage(_PENDING, ids.select("table", "id"), batch_id)
+
+    def staged(self, batch_id: int) -> dict[str, DataFrame]:
+        """Inside a transaction, the changes written so far, per table. Reads what was written and works nothing out again."""
+        found = {}
+        for table, attempt in self._staged[batch_id]:
+            folder = f"{self.root}/log/{table}"
+            found[table] = self.read_files([f"{folder}/batch_id={batch_id}/{attempt}"], _log_schema(table), folder)
+        return found
+
+    def changes_of(self, batch_id: int) -> dict[str, DataFrame]:
+        """The committed changes of one batch, per table that it changed."""
+        written = self.attempts(CACHE_TABLES, batch_id - 1, batch_id + 1)
+        return {
+            table: self.read_files([f"{self.root}/log/{table}/batch_id={n}/{attempt}" for n, attempt in entries], _log_schema(table), f"{self.root}/log/{table}")
+            for table, entries in written.items()
+            if entries
+        }
 
     def committed(self, batch_id: int) -> bool:
         return not self._read(f"{self.root}/commits", _COMMITS).where(F.col("batch_id") == batch_id).isEmpty()
 
     # --- Reading ---
 
-    def _attempts(self, tables: Iterable[str], after: int, before: int | None) -> dict[str, list[tuple[int, str]]]:
+    def attempts(self, tables: Iterable[str], after: int, before: int | None) -> dict[str, list[tuple[int, str]]]:
         """Per table the committed ``(batch, attempt)``; of several attempts at one batch the one committed last."""
         noted = self._read(f"{self.root}/commits", _COMMITS).where(F.col("batch_id") > after).where(F.col("table").isin(*tables))
         if before is not None:
@@ -182,13 +237,13 @@ class Cache:
 
     def pending(self, before: int | None = None) -> DataFrame:
         """The ``(table, id)`` still pending after the last batch, or after the last one before ``before``."""
-        noted = self._attempts([_PENDING], -1, before)[_PENDING][-1:]
+        noted = self.attempts([_PENDING], -1, before)[_PENDING][-1:]
         folder = f"{self.root}/log/{_PENDING}"
         return self.read_files([f"{folder}/batch_id={n}/{attempt}" for n, attempt in noted], _PENDING_SCHEMA, folder).select("table", "id")
 
     def log(self, table: str) -> DataFrame:
         """All committed changes, compacted ones too."""
-        return Snapshot(self, {}, {}, self._attempts([table], -1, None)).log(table)
+        return Snapshot(self, {}, {}, self.attempts([table], -1, None)).log(table)
 
     def snapshot(self, tables: Iterable[str] = tuple(CACHE_TABLES), before: int | None = None) -> Snapshot:
         """All ``tables`` at one committed state: the present one, or that before a batch."""
@@ -200,7 +255,7 @@ class Cache:
         last = {r["table"]: r["last"] for r in done.groupBy("table").agg(F.max(F.struct("upto", "manifest")).alias("last")).collect()}
         upto = {table: last[table]["upto"] if table in last else -1 for table in tables}
         bases = {t: self._read(last[t]["manifest"], _MANIFEST).orderBy("low", "high").collect() if t in last else [] for t in tables}
-        logs = self._attempts(tables, min(upto.values(), default=-1), before)
+        logs = self.attempts(tables, min(upto.values(), default=-1), before)
         return Snapshot(self, upto, bases, {table: [entry for entry in logs[table] if entry[0] > upto[table]] for table in tables})
 
     def scan(self, table: str, before: int | None = None) -> DataFrame:
@@ -222,7 +277,7 @@ class Cache:
         now = self.snapshot([table])
         if not now.logs[table]:
             return now.upto[table]
-        upto, key = now.logs[table][-1][0], _CLUSTERED_BY.get(table, "id")
+        upto, key = now.logs[table][-1][0], clustering_key(table)
         files, changes = now.bases[table], now.log(table)
         groups = _groups(files)
         lows = [group[0]["low"] for group in groups]
@@ -237,19 +292,26 @@ class Cache:
             touched = {row["range"] for row in keys.select(range_of(F.col(key), lows).alias("range")).distinct().collect()}  # at most one per file
         stored = self.read_files([f["path"] for n in sorted(touched) for f in groups[n]], _schema(table))
         rows = apply_changes(stored, changes, "id", F.col("batch_id"), payload_columns(table))
-        folder = f"{self.root}/base/{table}/{uuid.uuid4().hex}"
-        # Files do not reach over the borders of the old ranges, so that new ranges and untouched ones stay apart.
-        ranged = rows.withColumn("_range", range_of(F.col(key), lows)).repartitionByRange("_range", key).sortWithinPartitions("_range", key)
+        kept = [tuple(f) for n, group in enumerate(groups) if n not in touched for f in group]
+        self.write_base(table, rows, upto, lows, kept)
+        return upto
+
+    def write_base(self, table: str, rows: DataFrame, upto: int, lows: Iterable[int] = (), kept: Iterable[tuple] = ()) -> None:
+        """Make ``rows`` and the ``kept`` files the base of a table as of batch ``upto``.
+
+        Files do not reach over the borders ``lows`` of the old ranges, so that new ranges and kept ones stay apart.
+        """
+        key, folder = clustering_key(table), f"{self.root}/base/{table}/{uuid.uuid4().hex}"
+        ranged = rows.withColumn("_range", range_of(F.col(key), list(lows))).repartitionByRange("_range", key).sortWithinPartitions("_range", key)
         ranged.write.partitionBy("_range").option("maxRecordsPerFile", self.rows_per_file).parquet(folder)
         name = F.regexp_extract(F.col("_metadata.file_path"), "(_range=[^/]*/[^/]*)$", 1)
         written = self._read(folder, _schema(table)).groupBy(F.concat(F.lit(f"{folder}/"), name).alias("path"))
-        written = written.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n_rows"))
-        kept = [tuple(f) for n, group in enumerate(groups) if n not in touched for f in group]
+        place = F.coalesce(F.col(key), F.lit(_LEAST))  # rows without the key lie in the first range
+        written = written.agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("n_rows"))
         manifest = f"{self.root}/base/{table}/manifest-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(kept, _MANIFEST).union(written).coalesce(1).write.parquet(manifest)
+        self.spark.createDataFrame(list(kept), _MANIFEST).union(written).coalesce(1).write.parquet(manifest)
         mark = self.spark.createDataFrame([(table, upto, manifest)], _COMPACTIONS)
         mark.coalesce(1).write.mode("append").parquet(f"{self.root}/compactions")
-        return upto
 
 
 def _groups(files: list[T.Row]) -> list[list[T.Row]]:

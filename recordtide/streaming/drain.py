@@ -31,6 +31,7 @@ from recordtide.schemas import (
 )
 from recordtide.session import cut_lineage
 from recordtide.sources.cache import Cache
+from recordtide.sources.references import ReferenceIndex
 
 TABLE_RESOURCES = {table: resource for resource, table in RESOURCE_TABLES.items()}
 _TOP_DOWN = [table for level in reversed(LOAD_LEVELS) for table in level if table in TABLE_RESOURCES]
@@ -187,6 +188,7 @@ class CacheSync:
         with self.cache.transaction(batch_id):
             self.cache.write_pending(missing, batch_id)
             ordered_load(changes, lambda table, frame: self.cache.write_changes(table, frame, batch_id))
+            ReferenceIndex(self.cache).log_batch(batch_id)
 
     def _stale_blocks(self, rows: Mapping[str, DataFrame], gone: DataFrame, batch_id: int) -> DataFrame:
         """Stored blocks of the touched schedules that the new records no longer have."""
