@@ -29,9 +29,14 @@ from pyspark.sql import functions as F
 from recordtide.llm.words import batches
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>"
+    r"|<(?=/?[a-zA-Z])",
     re.DOTALL,
 )
+# The same pieces without quoted attributes, and the characters that tell where a tag with them ends.
+_SIMPLE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>", re.DOTALL)
+_TAG_START = re.compile(r"<(?=[!?]|/?[a-zA-Z])")
+_TURN = re.compile(r"[<>\"'\s/]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
 _CUT_TAG = re.compile(r"</?[a-zA-Z!][^<>]*\Z")
 
@@ -103,20 +108,80 @@ def _close(node: Element, tags: tuple[str, ...], stop: frozenset[str]) -> Elemen
     return node
 
 
+def tag_ends(page: str, start: int) -> dict[int, tuple[int, int]]:
+    """For the tags from ``start`` on whose quotes match: place of ``<`` -> end of the name, and place of the closing ``>``.
+
+    One pass from the end, which knows for each place where a tag would end if the place lay outside of quotes, in double
+    or in single ones.
+    """
+    bare = double = single = None
+    last = before_last = (len(page), None)  # the two nearest places to the right that end a name
+    ends = {}
+    for turn in reversed([m.start() for m in _TURN.finditer(page, start)]):
+        char = page[turn]
+        if char == "<" and page[turn + 1 : turn + 2] not in ("!", "?"):
+            name_end, closing = before_last if page[turn + 1 : turn + 2] == "/" else last
+            if closing is not None:
+                ends[turn] = name_end, closing
+        elif char == "<":
+            continue
+        elif char == '"':
+            bare, double = double, bare
+        elif char == "'":
+            bare, single = single, bare
+        else:
+            bare = turn if char == ">" else bare
+            last, before_last = (turn, bare), last
+    return ends
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Comments and tags in order: ``start, end, slash, name, attributes``, the name empty for comments and declarations.
+
+    ``send`` moves on to a later place. A page on which some tag does not close is read on by means of ``tag_ends``, since
+    looking for the end of each such tag would take a time that grows with the square of the page.
+    """
+    at, ends = 0, None
+    while ends is None:
+        token = _TOKEN.search(page, at)
+        if not token:
+            return
+        if token.end() == token.start() + 1:
+            at, ends = token.start(), tag_ends(page, token.start())
+            break
+        end, tag, attributes = token.group(1, 2, 3) if token.group(2) else token.group(4, 5, 6)
+        at = (yield token.start(), token.end(), end or "", tag or "", attributes or "") or token.end()
+    while start := _TAG_START.search(page, at):
+        at = start.start()
+        if at in ends:
+            name_end, closing = ends[at]
+            slash = "/" if page[at + 1] == "/" else ""
+            found = at, closing + 1, slash, page[at + 1 + len(slash) : name_end], page[name_end:closing]
+        elif simple := _SIMPLE.match(page, at):
+            found = at, simple.end(), simple.group(1) or "", simple.group(2) or "", simple.group(3) or ""
+        else:
+            at += 1
+            continue
+        at = (yield found) or found[1]
+
+
 def parse(page: str) -> Element:
     """The tree of a page."""
     root = Element("html", None, False)
     node, at = root, 0
     page = _CUT_TAG.sub("", page)
+    found = tokens(page)
     while True:
-        token = _TOKEN.search(page, at)
-        text = page[at : token.start() if token else len(page)]
+        try:
+            start, after, end, tag, attributes = found.send(None if not at else at)
+        except StopIteration:
+            start = None
+        text = page[at:start]
         if text:
             node.content.append(html.unescape(text))
-        if not token:
+        if start is None:
             return root
-        at = token.end()
-        end, tag, attributes = token.group(1, 2, 3) if token.group(2) else token.group(4, 5, 6)
+        at = after
         if not tag:
             continue
         tag = tag.lower()

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -218,3 +219,25 @@ def test_license_scan(spark, odd, none, documents):
     assert {r["doc_id"] for r in license_scan.scan(documents).filter("coverage = 1").collect()} == expected and expected
     assert license_scan.scan(odd).count() == license_scan.scan(none).count() == 0
     assert license_scan.scan(odd, {"short": prose(3, 120), "empty": ""}).filter("license = 'short'").select("doc_id").distinct().count() == 2
+
+
+_PIECE = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>", re.DOTALL
+)
+
+
+def test_tags_are_found_as_by_plain_search():
+    """The reader that never looks twice for the end of a tag finds what the plain pattern finds, on pages of any pieces."""
+    choose = random.Random(7)
+    pieces = ["<", "</", ">", '"', "'", "/", " ", "a", "<p>", '<div class="x">', "</div>", "<!--", "-->", "<!x", "<?", "=", "\n", "<b", '<a href="', "<a href='q'>"]
+    for _ in range(3000):
+        page = "".join(choose.choice(pieces) for _ in range(choose.randrange(25)))
+        want = [(m.start(), m.end(), *((g or "") for g in (m.group(1, 2, 3) if m.group(2) else m.group(4, 5, 6)))) for m in _PIECE.finditer(page)]
+        assert list(html_text.tokens(page)) == want, page
+
+
+@pytest.mark.parametrize("piece", ['<a href="', "<a", "<a/", "<a '", '<a<b "'])
+def test_pages_of_unclosed_tags_take_no_square_time(piece):
+    start = time.process_time()
+    html_text.parse("<p>x</p>" + piece * 50_000)
+    assert time.process_time() - start < 5  # by plain search: minutes
