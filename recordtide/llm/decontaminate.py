@@ -10,7 +10,8 @@ item, one pass over the documents for each, and the words hit are united per doc
 
 Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII. Null, empty and wordless texts have no
 words, are clean and hit nothing. Repeated rows are judged each for itself; items of equal text all count, and items of equal
-id count once. Other columns are ignored, null ids pass through, and an empty benchmark leaves every document clean.
+id count once. Items without an id cannot be reported and are left out: their passages hit nothing. Other columns are ignored,
+null document ids pass through, and an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
