@@ -4,12 +4,20 @@ A space between two characters that are not white space always begins a new piec
 pattern takes one such space at the head of a piece, and nowhere else), and so a text may be cut before it and its parts
 encoded alone. Parts recur, so each worker encodes a part once and looks it up from then on. Special strings hold no space, so
 no cut divides one.
+
+Parts that are new mostly consist of known pieces (a word and its comma, two words around a line break), so ``Encoder`` divides
+those further, by the pattern of the pre-tokenizer, and asks the tokenizer's model for unknown pieces only. That is done for
+files with this very pre-tokenizer and for parts of Latin letters, whose classes are fixed; all else goes through the whole
+tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -20,7 +28,8 @@ REMEMBERED = 300_000
 #: Characters beyond which a part is not worth remembering.
 LONG = 64
 
-_UNEVEN = re.compile(r"\s(?= )|(?<= )\s|\A | \Z|\0")
+#: White space other than the space itself.
+_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) != " "]
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -31,9 +40,16 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _uneven(text: str) -> bool:
+    """Whether a space meets other white space or an end of the text, told by plain searches."""
+    if text[:1] == " " or text[-1:] == " " or "  " in text or "\0" in text:
+        return True
+    return any(c in text and (c + " " in text or " " + c in text) for c in _OTHER_SPACE)
+
+
 def cut_at_spaces(text: str) -> list[str]:
     """Parts that begin with the space before them, cut only between characters that are not white space."""
-    if not _UNEVEN.search(text):  # each space stands alone
+    if not _uneven(text):  # each space stands alone
         return text.replace(" ", "\0 ").split("\0")
     cuts = [m.start() for m in _AT_SPACE.finditer(text)]
     return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
@@ -73,14 +89,72 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+_LETTER, _DIGIT = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_LATIN = re.compile("[\\t\\n\\r -~\u00a1-\u024f]*")
+#: The pattern of the byte-level pre-tokenizer, for the characters of ``_LATIN``.
+_PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for a byte: visible ones stay, the others follow from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (byte for byte in range(256) if byte not in visible)
+    return {byte: chr(256 + k) for k, byte in enumerate(hidden)}
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
+
+
+class _Pieces(dict):
+    """Piece of a part to its ids as bytes, by the tokenizer's model alone."""
+
+    def __init__(self, model):
+        self.model, self.characters = model, _byte_characters()
+        self.space = self.characters[0x20]
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece.isascii() and piece[-1] > " ":  # nothing hidden but a space at its head
+            written = piece.replace(" ", self.space)
+        else:
+            written = piece.encode().decode("latin-1").translate(self.characters)
+        value = _as_bytes([token.id for token in self.model.tokenize(written)])
+        if len(self) < REMEMBERED and len(piece) <= LONG:
+            self[piece] = value
+        return value
+
+
+class _PartIds(dict):
+    """Part of a text to its ids as bytes."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load_tokenizer(path)
+        said = json.loads(self.tokenizer.to_str())
+        before, model = said["pre_tokenizer"] or {}, said["model"]
+        plain = not said["normalizer"] and model["type"] == "BPE" and not model["dropout"]
+        self.divided = plain and _BYTE_LEVEL.items() <= before.items()
+        self.special = [token["content"] for token in said["added_tokens"]]
+        self.piece = _Pieces(self.tokenizer.model).__getitem__
+
+    def __missing__(self, part: str) -> bytes:
+        if self.divided and _LATIN.fullmatch(part) and not any(s in part for s in self.special):
+            value = b"".join(map(self.piece, _PIECE.findall(part)))
+        else:
+            value = _as_bytes(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        if len(self) < REMEMBERED and len(part) <= LONG:
+            self[part] = value
+        return value
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
-        self.parts = Parts(path, lambda encoding: np.array(encoding.ids, "<u4").tobytes())
+        self.part = _PartIds(path).__getitem__
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        return [b"".join(values) for values in self.parts.look_up([cut_at_spaces(text) if text else [] for text in texts])]
+        return [b"".join(map(self.part, cut_at_spaces(text))) if text else b"" for text in texts]
 
 
 def grouped(rows: Iterable[tuple], text_at: int, characters: int = 500_000) -> Iterator[list[tuple]]:

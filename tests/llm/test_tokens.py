@@ -155,3 +155,14 @@ def test_packing(odd, none, documents, tokenizers, monkeypatch):
     n = check_pieces(packing.pack(packing.cut_lineage(packing.pieces(documents, tokenizer_file(BYTES), 512)), 512, group=50).collect(), pairs, tokenizers[BYTES], 512)
     total = sum(len(ids_of(tokenizers[BYTES], b)) + 1 for _, b in pairs)
     assert n <= -(-total // 512) * 1.02
+
+
+def test_encoder_divides_parts_as_the_library_does():
+    """Contractions, line breaks, special strings and every character around the Latin ones."""
+    draw = random.Random(3)
+    bits = ["a", "B", "é", "ß", "'s", "'ll", "'", " ", "  ", "\n", "\t", "\r\n", "1", "²", "ª", "\u00ad", ",", "!?", "—", "日本", "\xa0", "\x1c", "\x85", "<|endoftext|>", " the", "\0", "\u3000", "😀"]
+    texts = ["".join(draw.choices(bits, k=draw.randint(1, 25))) for _ in range(5000)]
+    texts += [chr(c) + w + " x" + chr(c) for c in range(1, 0x260) for w in ("a", "1", " ", "'s")]
+    path = tokenizer_file("byte_bpe_50k.json")
+    expected = load_tokenizer(path).encode_batch(texts, add_special_tokens=False)
+    assert Encoder(path).ids(texts) == [np.array(e.ids, "<u4").tobytes() for e in expected]
