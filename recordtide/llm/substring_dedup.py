@@ -69,13 +69,26 @@ def candidate_starts(hashes: np.ndarray, once: np.ndarray | None, window: int, r
     return np.flatnonzero(~np.isin(at, once))
 
 
+def as_runs(starts: np.ndarray) -> bytes:
+    """Ascending positions as pairs of a first one and how many follow each other, which is far shorter in copied texts."""
+    heads = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
+    lengths = np.diff(heads, append=len(starts))
+    return np.column_stack((starts[heads], lengths)).astype("<i4").tobytes()
+
+
+def from_runs(runs: bytes) -> np.ndarray:
+    first, lengths = np.frombuffer(runs, "<i4").astype(np.int64).reshape(-1, 2).T
+    ends = np.cumsum(lengths)
+    return np.arange(lengths.sum()) + np.repeat(first - ends + lengths, lengths)
+
+
 _TESTED = pa.schema(
-    [("doc_id", pa.int64()), ("text", pa.string()), ("starts", pa.binary()), ("n_words", pa.int64()), ("kept_sha256", pa.string())]
+    [("doc_id", pa.int64()), ("text", pa.string()), ("runs", pa.binary()), ("n_words", pa.int64()), ("kept_sha256", pa.string())]
 )
 
 
 def _split(window: int, run: int):
-    """Rows with a candidate window keep their text and the starts; the others are finished."""
+    """Rows with a candidate window keep their text and the runs of starts; the others are finished."""
 
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = W.word_hashes()
@@ -89,7 +102,7 @@ def _split(window: int, run: int):
                         places = None if once is None else np.array(once, np.int64)
                         starts = candidate_starts(known.of(words), places, window, run)
                     if len(starts):
-                        yield doc_id, text.decode(), starts.astype("<i4").tobytes(), len(words), None
+                        yield doc_id, text.decode(), as_runs(starts), len(words), None
                     else:
                         yield doc_id, None, None, len(words), hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -105,12 +118,12 @@ def _window_rows(window: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, others = W.word_hashes(), W.word_hashes(1)
         for part in parts:
-            for doc_id, text, starts in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2)):
-                words, starts = W.spaced_words(text), np.frombuffer(starts.as_py(), "<i4")
+            for doc_id, text, runs in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2)):
+                words, starts = W.spaced_words(text), from_runs(runs.as_py())
                 value = W.rolling(known.of(words), window)[starts].view(np.int64)
                 check = (W.rolling(others.of(words), window)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value), pa.array(check), pa.array(np.full(len(starts), doc_id, np.int64)), pa.array(starts)], schema=_WINDOWS
+                    [pa.array(value), pa.array(check), pa.array(np.full(len(starts), doc_id, np.int64)), pa.array(starts.astype(np.int32))], schema=_WINDOWS
                 )
 
     return go
@@ -128,10 +141,10 @@ def _remove(window: int, with_text: bool):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for part in parts:
-                for doc_id, text, starts, once in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2), part.column(3)):
+                for doc_id, text, runs, once in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2), part.column(3)):
                     words = W.spaced_words(text)
                     unique = np.array(once.as_py() or [], np.int64)
-                    kept = _kept_words(words, np.frombuffer(starts.as_py(), "<i4").astype(np.int64), unique, window)
+                    kept = _kept_words(words, from_runs(runs.as_py()), unique, window)
                     body = b" ".join(kept)
                     yield doc_id, len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), body.decode() if with_text else None
 
@@ -155,13 +168,13 @@ def removed(docs: DataFrame, window: int = WINDOW, run: int = RUN, *, with_text:
     places = keyed.filter("doc_id is not null").mapInArrow(_anchor_rows(window, run), "value long, doc_id long, place int")
     sole = _sole_places(places, "value").withColumnRenamed("doc_id", "sole_id")
     tested = keyed.join(sole, keyed["doc_id"] == sole["sole_id"], "left").select("doc_id", "text", "once")
-    tested = cut_lineage(tested.mapInArrow(_split(window, run), "doc_id long, text string, starts binary, n_words long, kept_sha256 string"))
-    open_ = tested.filter("starts is not null").select("doc_id", "text", "starts")
+    tested = cut_lineage(tested.mapInArrow(_split(window, run), "doc_id long, text string, runs binary, n_words long, kept_sha256 string"))
+    open_ = tested.filter("runs is not null").select("doc_id", "text", "runs")
     windows = open_.mapInArrow(_window_rows(window), "value long, check int, doc_id long, place int")
     sole = _sole_places(windows, "value", "check").withColumnRenamed("doc_id", "sole_id")
-    ended = open_.join(sole, open_["doc_id"] == sole["sole_id"], "left").select("doc_id", "text", "starts", "once")
+    ended = open_.join(sole, open_["doc_id"] == sole["sole_id"], "left").select("doc_id", "text", "runs", "once")
     columns = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     ended = ended.mapInArrow(_remove(window, with_text), columns)
-    same = tested.filter("starts is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept"))
+    same = tested.filter("runs is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept"))
     out = same.union(ended)
     return out if with_text else out.drop("kept")

@@ -205,3 +205,9 @@ def test_rolling_values_and_minima():
         for i, at in enumerate(W.window_minima(small, width).tolist()):
             window = small[i : i + width]
             assert small[at] == window.min() and at == i + width - 1 - int(np.argmin(window[::-1]))
+
+
+def test_runs_hold_the_positions():
+    for starts in ([0], [3, 4, 5, 9], [0, 2, 4], list(range(50)), [7, 100, 101]):
+        assert substring_dedup.from_runs(substring_dedup.as_runs(np.array(starts))).tolist() == starts
+    assert substring_dedup.from_runs(b"").tolist() == []
