@@ -168,7 +168,7 @@ def removed(docs: DataFrame, window: int = WINDOW, run: int = RUN, *, with_text:
     places = keyed.filter("doc_id is not null").mapInArrow(_anchor_rows(window, run), "value long, doc_id long, place int")
     sole = _sole_places(places, "value").withColumnRenamed("doc_id", "sole_id")
     tested = keyed.join(sole, keyed["doc_id"] == sole["sole_id"], "left").select("doc_id", "text", "once")
-    tested = cut_lineage(tested.mapInArrow(_split(window, run), "doc_id long, text string, runs binary, n_words long, kept_sha256 string"))
+    tested = cut_lineage(tested.mapInArrow(_split(window, run), "doc_id long, text string, runs binary, n_words long, kept_sha256 string"), codec="zstd")
     open_ = tested.filter("runs is not null").select("doc_id", "text", "runs")
     windows = open_.mapInArrow(_window_rows(window), "value long, check int, doc_id long, place int")
     sole = _sole_places(windows, "value", "check").withColumnRenamed("doc_id", "sole_id")
