@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordtide.operators.mutate import apply_changes
+from recordtide.operators.mutate import apply_changes, fold_changes
 from recordtide.schemas import CACHE_TABLES, payload_columns
 
 # The base is sorted by this column, so that readers of a key range skip row groups.
@@ -290,24 +290,36 @@ class Cache:
                 old = old.join(changes.select("id").distinct(), "id", "left_semi")
             keys = old.select(key).union(changes.where(~F.col("deleted")).select(key))
             touched = {row["range"] for row in keys.select(range_of(F.col(key), lows).alias("range")).distinct().collect()}  # at most one per file
-        stored = self.read_files([f["path"] for n in sorted(touched) for f in groups[n]], _schema(table))
-        rows = apply_changes(stored, changes, "id", F.col("batch_id"), payload_columns(table))
+        if files:
+            stored = self.read_files([f["path"] for n in sorted(touched) for f in groups[n]], _schema(table))
+            rows = apply_changes(stored, changes, "id", F.col("batch_id"), payload_columns(table))
+        else:  # the rows may be laid out before they are folded, and then move once
+            laid = changes.repartitionByRange("id") if key == "id" else changes
+            rows = fold_changes(laid, "id", F.col("batch_id"), payload_columns(table)).where(~F.col("deleted")).select(*_schema(table).names)
         kept = [tuple(f) for n, group in enumerate(groups) if n not in touched for f in group]
-        self.write_base(table, rows, upto, lows, kept)
+        self.write_base(table, rows, upto, lows, kept, laid=not files and key == "id")
         return upto
 
-    def write_base(self, table: str, rows: DataFrame, upto: int, lows: Iterable[int] = (), kept: Iterable[tuple] = ()) -> None:
+    def write_base(
+        self, table: str, rows: DataFrame, upto: int, lows: Iterable[int] = (), kept: Iterable[tuple] = (), laid: bool = False, unique: bool = False
+    ) -> None:
         """Make ``rows`` and the ``kept`` files the base of a table as of batch ``upto``.
 
-        Files do not reach over the borders ``lows`` of the old ranges, so that new ranges and kept ones stay apart.
+        Files do not reach over the borders ``lows`` of the old ranges, so that new ranges and kept ones stay apart. ``laid``
+        says that rows lie in ranges of the key already; ``unique`` drops rows that are equal in all columns.
         """
         key, folder = clustering_key(table), f"{self.root}/base/{table}/{uuid.uuid4().hex}"
-        ranged = rows.withColumn("_range", range_of(F.col(key), list(lows))).repartitionByRange("_range", key).sortWithinPartitions("_range", key)
+        if not laid:  # by id too, as rows of one key may be more than a task should have
+            rows = rows.repartitionByRange(*dict.fromkeys((key, "id")))
+        if unique:  # equal rows lie in one range, so this moves none
+            rows = rows.distinct()
+        ranged = rows.withColumn("_range", range_of(F.col(key), list(lows))).sortWithinPartitions("_range", key)
         ranged.write.partitionBy("_range").option("maxRecordsPerFile", self.rows_per_file).parquet(folder)
-        name = F.regexp_extract(F.col("_metadata.file_path"), "(_range=[^/]*/[^/]*)$", 1)
-        written = self._read(folder, _schema(table)).groupBy(F.concat(F.lit(f"{folder}/"), name).alias("path"))
         place = F.coalesce(F.col(key), F.lit(_LEAST))  # rows without the key lie in the first range
+        written = self._read(folder, _schema(table)).groupBy(F.col("_metadata.file_path").alias("file"))
         written = written.agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("n_rows"))
+        path = F.concat(F.lit(f"{folder}/"), F.regexp_extract("file", "(_range=[^/]*/[^/]*)$", 1)).alias("path")
+        written = written.select(path, "low", "high", "n_rows")
         manifest = f"{self.root}/base/{table}/manifest-{uuid.uuid4().hex}"
         self.spark.createDataFrame(list(kept), _MANIFEST).union(written).coalesce(1).write.parquet(manifest)
         mark = self.spark.createDataFrame([(table, upto, manifest)], _COMPACTIONS)

@@ -50,7 +50,7 @@ class ReferenceIndex:
         parts = [references_of(t, rows.where(~F.col("deleted"))) for t, rows in self.cache.staged(batch_id).items() if t in _CHILDREN]
         if parts:
             added = reduce(DataFrame.unionAll, parts).withColumn("spot", _spot())
-            self.cache.stage(REFERENCES, added.repartitionByRange("spot").sortWithinPartitions("spot"), batch_id)
+            self.cache.stage(REFERENCES, added, batch_id)  # whole logs are read, so they need no order
 
     def entries(self, pairs: DataFrame, before: int | None = None) -> DataFrame:
         """Index entries of the written, distinct ``(target, fk)``, out-of-date ones included, as of now or before a batch."""
@@ -68,8 +68,11 @@ class ReferenceIndex:
         """Fold the index log into its base, each entry once. Returns the batch up to which the base holds."""
         now = self.cache.snapshot([REFERENCES])
         if now.logs[REFERENCES]:
-            every = now.base(REFERENCES).unionByName(now.log(REFERENCES).drop("batch_id")).distinct()
-            self.cache.write_base(REFERENCES, every, now.logs[REFERENCES][-1][0])
+            every, unique = now.log(REFERENCES).drop("batch_id"), len(now.logs[REFERENCES]) > 1
+            if now.bases[REFERENCES]:
+                every, unique = now.base(REFERENCES).unionByName(every), True
+            # The rows of one batch have unique ids, so one batch alone has no entry twice.
+            self.cache.write_base(REFERENCES, every, now.logs[REFERENCES][-1][0], unique=unique)
             return now.logs[REFERENCES][-1][0]
         return now.upto[REFERENCES]
 

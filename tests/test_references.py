@@ -109,3 +109,23 @@ def test_sync_keeps_the_index(world):  # noqa: F811
     world.drain()
     last = 1
     assert rows(batch_orphans(world.cache, last)) == [("schedules", 100, "job_id", "jobs", 10)]
+
+
+def test_a_hot_target_fills_several_files_and_one_batch_moves_once(spark, tmp_path):
+    cache = Cache(spark, str(tmp_path), rows_per_file=100_000)
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in CACHE_TABLES["jobs"] if f.name not in ("id", "status_id")]
+    jobs = spark.range(20_000).select("id", F.lit(3).cast("long").alias("status_id"), *blank, F.lit(False).alias("deleted"))
+    with cache.transaction(0):
+        cache.write_changes("jobs", jobs, 0)
+        ReferenceIndex(cache).log_batch(0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ReferenceIndex(cache).compact()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = cache.snapshot([REFERENCES]).bases[REFERENCES]
+    assert len(files) == 8 and sum(f["n_rows"] for f in files) == 20_000
+    assert max(f["n_rows"] for f in files) < 10_000  # one key, and no task had most of it
+    _write(spark, cache, 1, {"jobs": [(1, {"status_id": 3})], "job_statuses": [(3, None)]})
+    ReferenceIndex(cache).compact()
+    assert cache.snapshot([REFERENCES]).base(REFERENCES).count() == 20_000  # each entry once
