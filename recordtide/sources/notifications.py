@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from recordtide.schemas import ENVELOPE
+from recordtide.sources.records import LANDED_AS
 
 
 def notification_source(
@@ -23,4 +24,4 @@ def notification_source(
 
 def land_notifications(envelopes: DataFrame, folder: str) -> None:
     """Add envelopes to the landing folder."""
-    envelopes.write.mode("append").option("ignoreNullFields", "false").json(folder)
+    envelopes.write.mode("append").option("ignoreNullFields", "false").options(**LANDED_AS).json(folder)

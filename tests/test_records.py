@@ -28,7 +28,7 @@ from recordtide.operators.project import (
     to_columns,
 )
 from recordtide.schemas import CACHE_TABLES, RECORDS, RESOURCE_TABLES
-from recordtide.sources.records import record_scan
+from recordtide.sources.records import land_records, record_scan
 
 STAMP = "2024-05-01T10:00:00+10:00"
 UTC = dt.datetime(2024, 5, 1)
@@ -242,3 +242,12 @@ def test_select_columns(spark):
     assert select_columns(df, " c, a ").columns == ["c", "a"]
     assert select_columns(df, ["b"]).columns == ["b"]
     assert select_columns(df, None).columns == select_columns(df, "").columns == ["a", "b", "c"]
+
+
+def test_landed_records_are_compressed_in_short_files(spark, tmp_path):
+    spark.range(450_000).select(F.col("id").cast("string").alias("ID"), F.lit("a quote").alias("Name")).coalesce(1).write.parquet(f"{tmp_path}/flat")
+    land_records(spark.read.parquet(f"{tmp_path}/flat"), str(tmp_path), "quote")
+    parts = [part for part in (tmp_path / "quote").iterdir() if part.name.startswith("part-")]
+    assert len(parts) >= 3 and sum(part.stat().st_size for part in parts) < 450_000 * 15
+    found = record_scan(spark, str(tmp_path), "quote")
+    assert found.count() == found.distinct().count() == 450_000
