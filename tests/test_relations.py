@@ -357,3 +357,15 @@ def test_constraint_report(cache, spark):
     )
     parents = {"employees": cache["employees"], "schedules": batch.where("staff_id = 1").withColumn("date_modified", F.current_timestamp())}
     assert rows(constraint_report(parents, {"jobs": cache["jobs"]})) == []
+
+
+def test_star_join_moves_schedules_once_and_keeps_those_without_id(spark, cache):
+    whole = cache["schedules"]
+    nameless = whole.limit(1).withColumn("id", F.lit(None).cast("long"))
+    found = star_join({**cache, "schedules": whole.unionAll(nameless)}).select("id")
+    assert sorted(r["id"] or 0 for r in found.collect()) == [0, 1000, 1000, 1001, 1002, 1003]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "xxhash64(id" in plan(star_join(cache)) and "block_id" not in plan(star_join(cache).select("id", "staff_name"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
