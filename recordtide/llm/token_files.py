@@ -52,25 +52,27 @@ def _words(width: int, block: int) -> int:
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of equally many values below ``2**width`` as rows of 64-bit words."""
-    out = np.zeros((len(values), _words(width, values.shape[1])), np.uint64)
-    for j in range(values.shape[1] if width else 0):
+    """Rows of equally many values below ``2**width`` as rows of 64-bit words. Works on columns, which it turns into rows for speed."""
+    columns = np.ascontiguousarray(values.T)
+    out = np.zeros((_words(width, len(columns)), len(values)), np.uint64)
+    for j in range(len(columns) if width else 0):
         word, shift = divmod(j * width, 64)
-        out[:, word] |= values[:, j] << np.uint64(shift)
+        out[word] |= columns[j] << np.uint64(shift)
         if shift + width > 64:
-            out[:, word + 1] |= values[:, j] >> np.uint64(64 - shift)
-    return out
+            out[word + 1] |= columns[j] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(out.T)
 
 
 def _unpack(words: np.ndarray, width: int, block: int) -> np.ndarray:
-    out, mask = np.zeros((len(words), block), np.uint64), np.uint64((1 << width) - 1)
+    columns, mask = np.ascontiguousarray(words.T), np.uint64((1 << width) - 1)
+    out = np.zeros((block, len(words)), np.uint64)
     for j in range(block if width else 0):
         word, shift = divmod(j * width, 64)
-        out[:, j] = words[:, word] >> np.uint64(shift)
+        out[j] = columns[word] >> np.uint64(shift)
         if shift + width > 64:
-            out[:, j] |= words[:, word + 1] << np.uint64(64 - shift)
-        out[:, j] &= mask
-    return out
+            out[j] |= columns[word + 1] << np.uint64(64 - shift)
+        out[j] &= mask
+    return np.ascontiguousarray(out.T)
 
 
 def _bit_length(values: np.ndarray) -> np.ndarray:
@@ -88,7 +90,7 @@ def encode_segment(documents: list[tuple[int | None, bytes]], block: int = BLOCK
     low = grid.min(axis=1) if n_blocks else np.zeros(0, np.uint64)
     grid = grid - low[:, None]
     rank = (block - 1) * percentile // 100
-    widths = _bit_length(np.partition(grid, rank, axis=1)[:, rank]) if n_blocks else np.zeros(0, np.int64)
+    widths = _bit_length(np.partition(grid.astype(np.uint32), rank, axis=1)[:, rank]) if n_blocks else np.zeros(0, np.int64)
     over = grid >> widths[:, None].astype(np.uint64)
     heads["width"], heads["low"], heads["over"] = widths, low, (over > 0).sum(axis=1)
     bodies: list[bytes] = [b""] * n_blocks
