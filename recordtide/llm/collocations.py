@@ -416,14 +416,14 @@ def collocations(docs: DataFrame, limit: int = LIMIT, least: int = LEAST) -> Dat
     """``lang, rank, phrase, a, l, r, n, score`` of the first ``limit`` phrases of each language."""
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), docs["text"].cast("string").alias("text"))
     frequent = F.col("n") >= least
-    blocks = cut_lineage(texts.mapInArrow(_encode, _BLOCK_COLUMNS))
-    words = cut_lineage(_summed(blocks.select("lang", "words", "counts").mapInArrow(_count_words, _COUNTED_COLUMNS)))
+    blocks = cut_lineage(texts.mapInArrow(_encode, _BLOCK_COLUMNS), "zstd")
+    words = cut_lineage(_summed(blocks.select("lang", "words", "counts").mapInArrow(_count_words, _COUNTED_COLUMNS)), "zstd")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     words = cut_lineage(words.filter(frequent).select("lang", "phrase", F.array("n").alias("heads"), F.array("n").alias("tails")))
     fields, encoded = {"words": bit_field(words)}, blocks.drop("counts")
     hashes = encoded.drop("words").mapInArrow(_count_pair_hashes(fields["words"]), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     fields["pairs"] = bit_field(cut_lineage(hashes.filter(frequent).select("hash")))
-    encoded = cut_lineage(encoded.mapInArrow(_narrow(fields), _BLOCK_COLUMNS).drop("counts"))
+    encoded = cut_lineage(encoded.mapInArrow(_narrow(fields), _BLOCK_COLUMNS).drop("counts"), "zstd")
     pairs = cut_lineage(_summed(encoded.mapInArrow(_count_phrases(fields), _COUNTED_COLUMNS)).filter(frequent))
     flags = {"covered": F.lit(False), "opened": F.lit(False)}
     pool = cut_lineage(_scored(pairs, words).withColumns(flags))

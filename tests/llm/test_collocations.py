@@ -115,3 +115,11 @@ def test_sql_on_the_fixture(spark):
     columns = [c[0] for c in duck.execute(C.SQL).description]
     found = [dict(zip(columns, row)) for row in duck.fetchall()]
     assert sorted(tuple(r[c] for c in "lang rank phrase a l r n score".split()) for r in found) == brute(rows)
+
+
+def test_blocks_are_written_with_zstd(spark, monkeypatch):
+    codecs, cut = [], C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df, codec="snappy": codecs.append((df.columns, codec)) or cut(df, codec))
+    frame = spark.createDataFrame([("en", "one two three. " * 40)], "lang string, text string")
+    assert got(C.collocations(frame))
+    assert [codec for columns, codec in codecs if "ids" in columns] == ["zstd", "zstd"]
