@@ -5,10 +5,10 @@ pattern takes one such space at the head of a piece, and nowhere else), and so a
 encoded alone. Parts recur, so each worker encodes a part once and looks it up from then on. Special strings hold no space, so
 no cut divides one.
 
-Parts that are new mostly consist of known pieces (a word and its comma, two words around a line break), so ``Encoder`` divides
-those further, by the pattern of the pre-tokenizer, and asks the tokenizer's model for unknown pieces only. That is done for
-files with this very pre-tokenizer and for parts of Latin letters, whose classes are fixed; all else goes through the whole
-tokenizer.
+``Encoder`` divides texts by the pattern of the pre-tokenizer at once, as there are fewer pieces than parts (a word with and without
+its comma, two words around a line break), and asks the tokenizer's model for unknown pieces only. That is done for files with
+this very pre-tokenizer and for texts of Latin letters, whose classes are fixed; other texts go by parts, of which those of
+Latin letters are divided likewise, and all else goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ class _Pieces(dict):
         else:
             written = piece.encode().decode("latin-1").translate(self.characters)
         value = _as_bytes([token.id for token in self.model.tokenize(written)])
-        if len(self) < REMEMBERED and len(piece) <= LONG:
+        if len(self) < 2 * REMEMBERED and len(piece) <= LONG:  # parts of Latin letters take no room beside them
             self[piece] = value
         return value
 
@@ -137,10 +137,15 @@ class _PartIds(dict):
         self.special = [token["content"] for token in said["added_tokens"]]
         self.piece = _Pieces(self.tokenizer.model).__getitem__
 
+    def by_pieces(self, text: str) -> bytes | None:
+        """The ids of a text by its pieces, or None if the pattern does not hold for it."""
+        if self.divided and _LATIN.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.piece, _PIECE.findall(text)))
+        return None
+
     def __missing__(self, part: str) -> bytes:
-        if self.divided and _LATIN.fullmatch(part) and not any(s in part for s in self.special):
-            value = b"".join(map(self.piece, _PIECE.findall(part)))
-        else:
+        value = self.by_pieces(part)
+        if value is None:
             value = _as_bytes(self.tokenizer.encode(part, add_special_tokens=False).ids)
         if len(self) < REMEMBERED and len(part) <= LONG:
             self[part] = value
@@ -151,10 +156,14 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
-        self.part = _PartIds(path).__getitem__
+        self.parts = _PartIds(path)
+
+    def _of(self, text: str) -> bytes:
+        found = self.parts.by_pieces(text)
+        return b"".join(map(self.parts.__getitem__, cut_at_spaces(text))) if found is None else found
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        return [b"".join(map(self.part, cut_at_spaces(text))) if text else b"" for text in texts]
+        return [self._of(text) if text else b"" for text in texts]
 
 
 def grouped(rows: Iterable[tuple], text_at: int, characters: int = 500_000) -> Iterator[list[tuple]]:

@@ -223,6 +223,6 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     within = Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     places = segments.select("shard", "segment", "n_tokens").withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     places = places.join(shards, "shard").select("shard", "segment", (F.col("ahead") + F.col("inside")).alias("start"))
-    # One row per segment of some 500,000 tokens: small against the images, which stay where they are if it is broadcast.
-    placed = segments.select("shard", "segment", "image").join(places, ["shard", "segment"]).select("start", "image")
+    # One row of a few numbers per segment of some 500,000 tokens, so it is broadcast and the images stay where they are.
+    placed = segments.select("shard", "segment", "image").join(F.broadcast(places), ["shard", "segment"]).select("start", "image")
     return placed.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -166,3 +166,27 @@ def test_encoder_divides_parts_as_the_library_does():
     path = tokenizer_file("byte_bpe_50k.json")
     expected = load_tokenizer(path).encode_batch(texts, add_special_tokens=False)
     assert Encoder(path).ids(texts) == [np.array(e.ids, "<u4").tobytes() for e in expected]
+
+
+def test_latin_texts_are_looked_up_by_pieces_alone(tokenizers):
+    """Parts recur less than pieces do: a word with each sign after it is a part of its own."""
+    texts = [odd_text(k, 40).encode("latin-1", "ignore").decode("latin-1") for k in range(1500)] + [a + b + " x\n" + a for a in ("it's", " né", "1") for b in ",.;:!"]
+    texts = [t for t in texts if not any(c in t for c in "\0\x1c\x85") and "<|endoftext|>" not in t]
+    coder = Encoder(tokenizer_file(BYTES))
+    assert [np.frombuffer(b, "<u4").tolist() for b in coder.ids(texts)] == [ids_of(tokenizers[BYTES], t) for t in texts]
+    assert len(texts) > 100 and not coder.parts  # no part was looked up
+    assert len(coder.ids(["a\u0416 b"])[0]) == 4 * len(ids_of(tokenizers[BYTES], "a\u0416 b")) and len(coder.parts) == 2
+
+
+def test_images_are_not_shuffled(spark, odd, tmp_path):
+    """Only their places are sent to them, whatever the planner takes the sizes for."""
+    token_files.write_tokens(odd, f"{tmp_path}/a", tokenizer_file(BYTES), segment_tokens=300, shard_bytes=40_000)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = token_files.read_documents(spark, f"{tmp_path}/a")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and not any("image" in line for line in plan.split("\n") if "Sort [" in line)
+        assert got.count() == len(ODD_ROWS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
