@@ -105,6 +105,30 @@ def test_jaccard_join_keeps_the_only_link_between_families(spark, monkeypatch):
     assert {r["component"] for r in jaccard_join.components(links).collect()} == {1000}
 
 
+def test_jaccard_join_keeps_its_plans_short(spark, monkeypatch):
+    """A round reads what it needs more than once from written tables: its plans do not hold each other many times over."""
+    joins, files = [], []
+
+    def counted(cut, many):
+        def run(df, *more):
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+            written = cut(df, *more)
+            many.append(len(written.inputFiles()))
+            return written
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "LEAF", 3)
+    monkeypatch.setattr(jaccard_join, "LATER_LEAF", 12)
+    monkeypatch.setattr(jaccard_join, "cut_lineage", counted(jaccard_join.cut_lineage, []))
+    monkeypatch.setattr(jaccard_join, "cut_few", counted(jaccard_join.cut_few, files))
+    rows = near_copies(60, 40, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(jaccard_join.classes(docs)) == sorted(linked_components(rows, 3, 90), key=repr)
+    assert len(joins) > 15 and max(joins) <= 12
+    assert len(files) > 10 and max(files) <= spark.sparkContext.defaultParallelism
+
+
 def test_jaccard_join_on_odd_rows(odd, none):
     got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in jaccard_join.classes(odd).collect()}
     assert got[(1, True)] == got[(2, True)] == 1 and got[(3, True)] == 3 and got[(11, True)] == 3
