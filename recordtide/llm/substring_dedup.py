@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordtide.llm import words as W
-from recordtide.llm.tables import cut_lineage, keyed_texts
+from recordtide.llm.tables import cut_lineage, keyed_texts, release
 
 WINDOW = 35
 RUN = 12
@@ -169,6 +169,8 @@ def removed(docs: DataFrame, window: int = WINDOW, run: int = RUN, *, with_text:
     sole = _sole_places(places, "value").withColumnRenamed("doc_id", "sole_id")
     tested = keyed.join(sole, keyed["doc_id"] == sole["sole_id"], "left").select("doc_id", "text", "once")
     tested = cut_lineage(tested.mapInArrow(_split(window, run), "doc_id long, text string, runs binary, n_words long, kept_sha256 string"), codec="zstd")
+    del places, sole
+    release(docs.sparkSession)  # their shuffles are done with
     open_ = tested.filter("runs is not null").select("doc_id", "text", "runs")
     windows = open_.mapInArrow(_window_rows(window), "value long, check int, doc_id long, place int")
     sole = _sole_places(windows, "value", "check").withColumnRenamed("doc_id", "sole_id")
