@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +86,9 @@ def hits(words: list[bytes], hashes: np.ndarray, index: dict[int, dict]) -> tupl
 _HITS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hit", pa.binary()), ("items", pa.list_(pa.string())), ("digest", pa.binary())])
 
 
-def _scan(shared):
+def _scan(shared, *, alone: bool):
+    """Hits of each row in a block, or at once the report if the block is the only one."""
+
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, index = W.word_hashes(), shared.value
 
@@ -95,9 +97,13 @@ def _scan(shared):
                 for doc_id, text in zip(part.column(0).to_pylist(), W.texts(part.column(1))):
                     words = W.alnum_words(text)
                     hit, items = hits(words, known.of(words), index)
-                    yield doc_id, len(words), np.packbits(hit).tobytes() if items else None, sorted(items), xxhash.xxh3_128_digest(text or b"")
+                    hit = np.packbits(hit).tobytes() if items else None
+                    if alone:
+                        yield _reported(doc_id, len(words), [hit] if items else [], items)
+                    else:
+                        yield doc_id, len(words), hit, sorted(items), xxhash.xxh3_128_digest(text or b"")
 
-        yield from W.batches(rows(), _HITS)
+        yield from W.batches(rows(), _REPORT if alone else _HITS)
 
     return go
 
@@ -107,17 +113,21 @@ _REPORT = pa.schema(
 )
 
 
+def _reported(doc_id: int | None, n_words: int, hit: Iterable[bytes], items: Iterable[str]) -> tuple:
+    united = None
+    for bits in hit:
+        bits = np.frombuffer(bits, np.uint8)
+        united = bits if united is None else united | bits
+    n_hit = 0 if united is None else int(np.unpackbits(united).sum())
+    names = sorted(set(items))
+    return doc_id, n_words, n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n_hit > 0
+
+
 def _report(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         for part in parts:
             for doc_id, n_words, hit, items in zip(*(part.column(i).to_pylist() for i in range(4))):
-                united = None
-                for bits in hit:
-                    bits = np.frombuffer(bits, np.uint8)
-                    united = bits if united is None else united | bits
-                n_hit = 0 if united is None else int(np.unpackbits(united).sum())
-                names = sorted(set(items))
-                yield doc_id, n_words, n_hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n_hit > 0
+                yield _reported(doc_id, n_words, hit, items)
 
     yield from W.batches(rows(), _REPORT)
 
@@ -138,14 +148,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     keyed = keyed_texts(docs)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id is not null")
-    found, context = [], docs.sparkSession.sparkContext
-    for part in blocks(items, block):
+    columns = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    found, context, parts = [], docs.sparkSession.sparkContext, blocks(items, block)
+    for part in parts:
         rows = [(row["item_id"], row["text"] and row["text"].encode()) for row in part.toLocalIterator()]
         shared = context.broadcast(index_of(rows, window))
-        found.append(keyed.mapInArrow(_scan(shared), "doc_id long, n_words long, hit binary, items array<string>, digest binary"))
-    columns = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    if len(found) == 1:
-        return found[0].select("doc_id", "n_words", F.array_compact(F.array("hit")).alias("hit"), "items").mapInArrow(_report, columns)
+        if len(parts) == 1:  # in one step: two in a row would take two Python workers for each task
+            return keyed.mapInArrow(_scan(shared, alone=True), columns)
+        found.append(keyed.mapInArrow(_scan(shared, alone=False), "doc_id long, n_words long, hit binary, items array<string>, digest binary"))
     every = found[0]
     for more in found[1:]:
         every = every.union(more)

@@ -19,10 +19,11 @@ import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 
+from recordtide.llm.words import held
+
 #: Parts that a Python worker remembers; those it meets later are encoded anew each time. Some 60 MB.
 REMEMBERED = 300_000
 #: Characters beyond which a part is not worth remembering.
@@ -77,16 +78,18 @@ class Parts(dict):
         return found
 
 
-@cache
+def _counted(path: str) -> Parts:
+    return Parts(path, len)
+
+
 def counted_parts(path: str) -> Parts:
     """Token counts of parts, kept by this Python worker beyond a task."""
-    return Parts(path, len)
+    return held(_counted, path)
 
 
-@cache
 def encoder(path: str) -> Encoder:
     """The encoder of this Python worker, which outlives a task."""
-    return Encoder(path)
+    return held(Encoder, path)
 
 
 _LETTER, _DIGIT = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"

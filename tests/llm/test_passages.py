@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from recordtide.llm import decontaminate, jaccard_join, substring_dedup
+from recordtide.llm import components, decontaminate, jaccard_join, substring_dedup, tables
 from recordtide.llm import words as W
 from tests.llm.conftest import ODD_ROWS, prose
 
@@ -129,6 +129,37 @@ def test_jaccard_join_keeps_its_plans_short(spark, monkeypatch):
     assert len(files) > 10 and max(files) <= spark.sparkContext.defaultParallelism
 
 
+def test_jaccard_join_writes_few_files_from_wide_shuffles(spark, monkeypatch):
+    """Each file costs the executor that writes it some processes, so small tables must not go in one for each partition."""
+    files = []
+
+    def counted(cut):
+        def run(df, *more):
+            written = cut(df, *more)
+            files.append(len(written.inputFiles()))
+            return written
+
+        return run
+
+    for module in (tables, components, jaccard_join):
+        if hasattr(module, "cut_lineage"):
+            monkeypatch.setattr(module, "cut_lineage", counted(module.cut_lineage))
+    monkeypatch.setattr(jaccard_join, "LEAF", 3)
+    monkeypatch.setattr(jaccard_join, "LATER_LEAF", 12)
+    rows = near_copies(60, 40, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wide = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in wide}
+    try:
+        for name, value in wide.items():
+            spark.conf.set(name, value)
+        assert rows_of(jaccard_join.classes(docs)) == sorted(linked_components(rows, 3, 90), key=repr)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(files) > 10 and max(files) <= spark.sparkContext.defaultParallelism
+
+
 def test_jaccard_join_on_odd_rows(odd, none):
     got = {(r["doc_id"], r["n_shingles"] > 0): r["component_id"] for r in jaccard_join.classes(odd).collect()}
     assert got[(1, True)] == got[(2, True)] == 1 and got[(3, True)] == 3 and got[(11, True)] == 3
@@ -217,6 +248,12 @@ def test_benchmark_passages_of_the_corpus(spark, documents):
     assert rows_of(decontaminate.contamination(documents, bench)) == passages_by_brute_force(rows, items)
 
 
+def test_benchmark_of_one_block_takes_one_python_step(spark, odd):
+    bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    plan = decontaminate.contamination(odd, bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_rolling_values_and_minima():
     hashes = np.random.default_rng(0).integers(0, 5, 300).astype(np.uint64)
     values = W.rolling(hashes, 4)

@@ -1,6 +1,7 @@
 """Token ids, counts, files and packing against the tokenizer library itself."""
 
 import random
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,8 @@ import numpy as np
 import pytest
 
 from recordtide.llm import packing, token_counts, token_files
-from recordtide.llm.encoding import Encoder, Parts, cut_at_spaces, load_tokenizer
+from recordtide.llm import words as W
+from recordtide.llm.encoding import Encoder, Parts, counted_parts, cut_at_spaces, encoder, load_tokenizer
 from recordtide.llm.tables import tokenizer_file
 from tests.llm.conftest import ODD_ROWS
 
@@ -190,3 +192,17 @@ def test_images_are_not_shuffled(spark, odd, tmp_path):
         assert got.count() == len(ODD_ROWS)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_worker_remembers_for_one_kind_of_operator_at_a_time():
+    path = tokenizer_file("byte_bpe_50k.json")
+    known = W.word_hashes()
+    assert W.word_hashes() is known and W.word_hashes(1) is not known and W.word_hashes(0) is known
+    gone = weakref.ref(known)
+    del known
+    coder = encoder(path)
+    assert gone() is None and encoder(path) is coder
+    gone = weakref.ref(coder)
+    del coder
+    counted_parts(path)
+    assert gone() is None
