@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,40 +36,46 @@ def anchors(hashes: np.ndarray, window: int, run: int) -> tuple[np.ndarray, np.n
     return runs, W.window_minima(runs, window - run + 1)
 
 
-_ANCHORS = pa.schema([("value", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32())])
+_PLACES = [("doc_id", pa.int64()), ("place", pa.int32())]
+_ANCHORS = pa.schema([("value", pa.int64()), *_PLACES])
+
+
+def _places(ids: pa.Array, words: W.SpacedWords, at: np.ndarray) -> list[np.ndarray]:
+    """The ids of the texts that hold the words ``at``, and the places of these words in them."""
+    counts = np.diff(np.searchsorted(at, words.first))
+    return [np.repeat(ids.to_numpy(zero_copy_only=False), counts), (at - np.repeat(words.first[:-1], counts)).astype(np.int32)]
+
+
+def _at_places(words: W.SpacedWords, places: pa.Array) -> np.ndarray:
+    """Which words are listed, each text having a list of places; a place beyond its words is of another text of that id."""
+    counts = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
+    values = places.flatten().to_numpy(zero_copy_only=False)
+    within = values < np.repeat(np.diff(words.first), counts)
+    listed = np.zeros(len(words), bool)
+    listed[(values + np.repeat(words.first[:-1], counts))[within]] = True
+    return listed
 
 
 def _anchor_rows(window: int, run: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.word_hashes()
+        rows, held = [], 0
         for part in parts:
-            values, ids, places, held = [], [], [], 0
-            for doc_id, text in zip(part.column(0).to_pylist(), W.texts(part.column(1))):
-                runs, at = anchors(known.of(W.spaced_words(text)), window, run)
-                if not len(at):
-                    continue
-                at = np.unique(at)
-                values.append(runs[at].view(np.int64))
-                ids.append(np.full(len(at), doc_id, np.int64))
-                places.append(at.astype(np.int32))
+            for some in W.chunks(part):
+                words = W.SpacedWords(W.texts(some.column("text")))
+                runs, at = anchors(words.hashes(), window, run)
+                at = at[words.windows(window)]
+                at = at[np.diff(at, prepend=-1) != 0]  # they never go back
+                rows.append([runs[at].view(np.int64), *_places(some.column("doc_id"), words, at)])
                 held += len(at)
                 if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (values, ids, places)], schema=_ANCHORS)
-                    values, ids, places, held = [], [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (values, ids, places)], schema=_ANCHORS)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], schema=_ANCHORS)
+                    rows, held = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], schema=_ANCHORS)
 
     return go
 
 
-def candidate_starts(hashes: np.ndarray, once: np.ndarray | None, window: int, run: int) -> np.ndarray:
-    """Starts of the windows whose anchor occurs more than once; ``once`` holds the places of the others."""
-    _, at = anchors(hashes, window, run)
-    if once is None or not len(at):
-        return np.arange(len(at))
-    return np.flatnonzero(~np.isin(at, once))
-
-
 def as_runs(starts: np.ndarray) -> bytes:
     """Ascending positions as pairs of a first one and how many follow each other, which is far shorter in copied texts."""
     heads = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
@@ -88,65 +95,67 @@ _TESTED = pa.schema(
 
 
 def _split(window: int, run: int):
-    """Rows with a candidate window keep their text and the runs of starts; the others are finished."""
+    """Rows with a candidate window keep their text and the runs of starts; the others are finished.
 
-    def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = W.word_hashes()
+    Candidates are the windows whose anchor occurs more than once; ``once`` holds the places of the other anchors.
+    """
 
+    def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for part in parts:
-                for doc_id, text, once in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2)):
-                    words, once = W.spaced_words(text), once.as_py()
-                    starts = np.empty(0, np.int64)
-                    if doc_id is not None and len(words) >= window:
-                        places = None if once is None else np.array(once, np.int64)
-                        starts = candidate_starts(known.of(words), places, window, run)
-                    if len(starts):
-                        yield doc_id, text.decode(), as_runs(starts), len(words), None
+            for some in (some for part in parts for some in W.chunks(part)):
+                ids, texts = some.column("doc_id"), list(W.texts(some.column("text")))
+                words = W.SpacedWords(texts)
+                _, at = anchors(words.hashes(), window, run)
+                starts = words.windows(window)
+                starts = starts[~_at_places(words, some.column("once"))[at[starts]]]
+                ends = np.searchsorted(starts, words.first).tolist()
+                for k, (doc_id, text, body) in enumerate(zip(ids.to_pylist(), texts, words.joined())):
+                    n_words = int(words.first[k + 1] - words.first[k])
+                    if doc_id is not None and ends[k] < ends[k + 1]:
+                        yield doc_id, text.decode(), as_runs(starts[ends[k] : ends[k + 1]] - words.first[k]), n_words, None
                     else:
-                        yield doc_id, None, None, len(words), hashlib.sha256(b" ".join(words)).hexdigest()
+                        yield doc_id, None, None, n_words, hashlib.sha256(body).hexdigest()
 
         yield from W.batches(rows(), _TESTED)
 
     return go
 
 
-_WINDOWS = pa.schema([("value", pa.int64()), ("check", pa.int32()), ("doc_id", pa.int64()), ("place", pa.int32())])
+def _starts(words: W.SpacedWords, runs: pa.Array) -> np.ndarray:
+    """The candidate windows of all texts by their first word."""
+    return np.concatenate([from_runs(of_text) + first for of_text, first in zip(runs.to_pylist(), words.first.tolist())])
+
+
+_WINDOWS = pa.schema([("value", pa.int64()), ("check", pa.int32()), *_PLACES])
 
 
 def _window_rows(window: int):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, others = W.word_hashes(), W.word_hashes(1)
-        for part in parts:
-            for doc_id, text, runs in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2)):
-                words, starts = W.spaced_words(text), from_runs(runs.as_py())
-                value = W.rolling(known.of(words), window)[starts].view(np.int64)
-                check = (W.rolling(others.of(words), window)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(value), pa.array(check), pa.array(np.full(len(starts), doc_id, np.int64)), pa.array(starts.astype(np.int32))], schema=_WINDOWS
-                )
+        for some in (some for part in parts for some in W.chunks(part)):
+            words = W.SpacedWords(W.texts(some.column("text")))
+            starts = _starts(words, some.column("runs"))
+            value = W.rolling(words.hashes(), window)[starts].view(np.int64)
+            check = (W.rolling(words.hashes(1), window)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            columns = [value, check, *_places(some.column("doc_id"), words, starts)]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], schema=_WINDOWS)
 
     return go
 
 
-def _kept_words(words: list[bytes], starts: np.ndarray, unique: np.ndarray, window: int) -> list[bytes]:
-    gone = W.covered(np.setdiff1d(starts, unique), window, len(words))
-    return [word for word, out in zip(words, gone.tolist()) if not out]
-
-
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
 def _remove(window: int, with_text: bool):
     def go(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for part in parts:
-                for doc_id, text, runs, once in zip(part.column(0).to_pylist(), W.texts(part.column(1)), part.column(2), part.column(3)):
-                    words = W.spaced_words(text)
-                    unique = np.array(once.as_py() or [], np.int64)
-                    kept = _kept_words(words, from_runs(runs.as_py()), unique, window)
-                    body = b" ".join(kept)
-                    yield doc_id, len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest(), body.decode() if with_text else None
+            for some in (some for part in parts for some in W.chunks(part)):
+                words = W.SpacedWords(W.texts(some.column("text")))
+                starts = _starts(words, some.column("runs"))
+                starts = starts[~_at_places(words, some.column("once"))[starts]]
+                gone = W.covered(starts, window, len(words))
+                n_gone = np.diff(np.concatenate(([0], np.cumsum(gone)))[words.first]).tolist()
+                for doc_id, n_words, n, body in zip(some.column("doc_id").to_pylist(), np.diff(words.first).tolist(), n_gone, words.joined(~gone)):
+                    yield doc_id, n_words, n, hashlib.sha256(body).hexdigest(), body.decode() if with_text and n else None
 
         yield from W.batches(rows(), _KEPT)
 

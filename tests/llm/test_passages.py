@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from recordtide.llm import components, decontaminate, jaccard_join, substring_dedup, tables
 from recordtide.llm import words as W
@@ -268,6 +269,66 @@ def test_rolling_values_and_minima():
             assert small[at] == window.min() and at == i + width - 1 - int(np.argmin(window[::-1]))
 
 
+def test_words_of_several_texts_at_once():
+    texts = [b"", None, b" \t\n", b"one", b"  two  words\r\n", "日本\x00 日本\x00\x00 naïve\u00a0x".encode(), b"x" * 70_000 + b" y", b"a\x0bb\x0cc"]
+    texts += [b" ".join(b"abcdefghijklmnopqrstuvwxyz"[k % 9 : k % 9 + n] * (n // 20 + 1) for n in range(1, 27)) for k in range(30)]
+    texts += [b" ".join(b"z" * n for n in (7, 8, 9, 16, 17, 63, 64, 65, 128)), b"end"]
+    words = W.SpacedWords(texts)
+    split = [W.spaced_words(text) for text in texts]
+    flat = [word for of_text in split for word in of_text]
+    data = words.data.tobytes()
+    assert [data[a:b] for a, b in zip(words.starts, words.ends)] == flat and words.first.tolist() == np.cumsum([0, *map(len, split)]).tolist()
+    for seed in (0, 1):
+        assert len(set(zip(flat, words.hashes(seed).tolist()))) == len(set(flat)) == len(set(words.hashes(seed).tolist()))
+        alone = [W.SpacedWords([word]).hashes(seed)[0] for word in flat]
+        assert words.hashes(seed).tolist() == alone
+    assert not set(words.hashes(0).tolist()) & set(words.hashes(1).tolist())
+    for width in (1, 3, 9, 40):
+        inside = [a + k for a, of_text in zip(words.first.tolist(), split) for k in range(len(of_text) - width + 1)]
+        assert words.windows(width).tolist() == inside
+    kept = np.arange(len(flat)) % 3 > 0
+    assert words.joined() == [b" ".join(of_text) for of_text in split]
+    assert words.joined(kept) == [b" ".join(w for w, k in zip(of_text, kept[a:]) if k) for a, of_text in zip(words.first, split)]
+
+
+def test_batches_are_cut_at_whole_texts():
+    for texts in ([], [None], [None, "", "x" * 50, "y", None, "z" * 9, "ä" * 8, "w"], ["ab"] * 100):
+        part = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        cut = list(W.chunks(part, 20))
+        assert [x for some in cut for x in some.column("text").to_pylist()] == texts and all(some.num_rows for some in cut)
+        assert all(sum(len((x or "").encode()) for x in some.column("text").to_pylist()[1:]) <= 20 for some in cut)
+
+
+def test_words_are_not_hashed_one_by_one(monkeypatch):
+    """More words than a worker would remember: to hash each of them by itself took most of the time."""
+    calls, alone = [], W.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(W.xxhash, "xxh3_64_intdigest", lambda *args: calls.append(1) or alone(*args))
+    texts = [" ".join(f"w{k}" for k in range(first, first + 200)) for first in range(0, 2000, 100)] + ["v" * 100 + " end"]
+    part = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    rows = pa.Table.from_batches(substring_dedup._anchor_rows(35, 12)(iter([part]))).to_pylist()
+    assert len(calls) == 1  # the long word
+    assert len(rows) > 20 * 10 and {row["doc_id"] for row in rows} == set(range(20))
+    assert all(0 <= row["place"] <= 200 - 12 for row in rows)
+
+
+def test_texts_that_lose_nothing_are_not_returned(spark):
+    """Short runs that repeat make candidates, whichever of them the hashes pick; without a repeated window nothing goes."""
+    passage = prose(60, 30)
+    rows = [(k, f"{prose(300 + k, 40)} {passage} {prose(400 + k, 40)}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = substring_dedup.removed(docs, with_text=True).collect()
+    assert len(got) == 12 and all(row["n_removed"] == 0 and row["kept"] is None for row in got)
+
+
+def test_texts_of_one_id_share_places(spark):
+    """Places beyond the words of a shorter text are of the others; a null id is neither counted nor cut."""
+    passage, long = prose(70, 60), prose(71, 300)
+    rows = [(1, long), (1, prose(72, 40)), (1, None), (2, passage), (3, "start " + passage), (None, passage), (4, ""), (5, "few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    got = rows_of(substring_dedup.removed(docs))
+    assert got == kept_by_brute_force(rows, 35)
+
+
 def test_runs_hold_the_positions():
     for starts in ([0], [3, 4, 5, 9], [0, 2, 4], list(range(50)), [7, 100, 101]):
         assert substring_dedup.from_runs(substring_dedup.as_runs(np.array(starts))).tolist() == starts
