@@ -106,6 +106,58 @@ def test_jaccard_join_keeps_the_only_link_between_families(spark, monkeypatch):
     assert {r["component"] for r in jaccard_join.components(links).collect()} == {1000}
 
 
+def drawn(seed, n):
+    return np.unique(np.random.default_rng(seed).integers(0, 2**64, n, dtype=np.uint64))
+
+
+def test_sets_that_share_nothing_meet_in_no_first_region():
+    """Parts without a shingle of theirs, which make regions that grow with the corpus, are not counted."""
+    for size in (jaccard_join.size_class(600)[1], 600, jaccard_join.size_class(600)[2] - 1):
+        keys = Counter(key for seed in range(1500) for key in jaccard_join.region_keys(drawn(seed, size), 90).tolist())
+        assert max(keys.values()) == 1
+
+
+def test_linked_sets_meet_in_a_first_region():
+    choose = np.random.default_rng(5)
+    for seed in range(3000):
+        percent = (80, 90, 97)[seed % 3]
+        x = drawn(seed, int(choose.integers(1, 40) if seed % 2 else choose.integers(1, 900)))
+        # As many shingles less and more as leave the two linked, in few parts or all over.
+        spread = choose.random() < 0.5
+        less = int(choose.integers(0, len(x) * (100 - percent) // 100 + 1))
+        left = np.sort(choose.permutation(x)[less:]) if spread else x[less:]
+        more = max(0, (len(left) * 100 - percent * len(x)) // percent)
+        y = np.unique(np.concatenate((left, drawn(10_000 + seed, more) if spread else drawn(10_000 + seed, more) >> np.uint64(3))))
+        shared = len(np.intersect1d(x, y))
+        assert shared * 100 >= percent * (len(x) + len(y) - shared)
+        assert np.intersect1d(jaccard_join.region_keys(x, percent), jaccard_join.region_keys(y, percent)).size
+
+
+def test_jaccard_join_shuffles_keys_as_single_numbers_only(spark, monkeypatch):
+    """The lists of keys outweigh the other columns: they are written once and stay where they are. Copies and repeated ids go all the same."""
+    shuffled = []
+
+    def watched(cut):
+        def run(df, *more):
+            plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+            shuffled.extend(part for part in plan.split("\n\n") if re.match(r"\(\d+\) Exchange", part.strip()))
+            return cut(df, *more)
+
+        return run
+
+    rows = near_copies(40, 60, 2) + near_copies(40, 60, 2)[:5] + [(2000, near_copies(40, 60, 2)[7][1]), (None, prose(1, 50)), (None, None), (3000, prose(1, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = sorted(linked_components([row for row in dict.fromkeys(rows) if row[0]], 3, 90), key=repr)
+    with monkeypatch.context() as patch:
+        for name in ("cut_few", "cut_lineage"):
+            patch.setattr(jaccard_join, name, watched(getattr(jaccard_join, name)))
+        found = jaccard_join.classes(docs)
+    assert sorted(set(rows_of(found.filter("doc_id is not null"))), key=repr) == wanted and found.count() == len(rows)
+    assert len(shuffled) > 10 and not [part for part in shuffled if "keys#" in part]
+    monkeypatch.setattr(tables, "BROADCAST_IDS", 0)  # nothing is small
+    assert rows_of(jaccard_join.classes(docs)) == rows_of(found)
+
+
 def test_jaccard_join_keeps_its_plans_short(spark, monkeypatch):
     """A round reads what it needs more than once from written tables: its plans do not hold each other many times over."""
     joins, files = [], []
