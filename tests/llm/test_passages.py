@@ -148,10 +148,15 @@ def test_jaccard_join_shuffles_keys_as_single_numbers_only(spark, monkeypatch):
     rows = near_copies(40, 60, 2) + near_copies(40, 60, 2)[:5] + [(2000, near_copies(40, 60, 2)[7][1]), (None, prose(1, 50)), (None, None), (3000, prose(1, 50))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     wanted = sorted(linked_components([row for row in dict.fromkeys(rows) if row[0]], 3, 90), key=repr)
-    with monkeypatch.context() as patch:
-        for name in ("cut_few", "cut_lineage"):
-            patch.setattr(jaccard_join, name, watched(getattr(jaccard_join, name)))
-        found = jaccard_join.classes(docs)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        with monkeypatch.context() as patch:
+            for name in ("cut_few", "cut_lineage"):
+                patch.setattr(jaccard_join, name, watched(getattr(jaccard_join, name)))
+            found = jaccard_join.classes(docs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert sorted(set(rows_of(found.filter("doc_id is not null"))), key=repr) == wanted and found.count() == len(rows)
     assert len(shuffled) > 10 and not [part for part in shuffled if "keys#" in part]
     monkeypatch.setattr(tables, "BROADCAST_IDS", 0)  # nothing is small
